@@ -51,11 +51,10 @@ def poisson_steps(mean: float, largest: int = 40) -> list[float]:
 
 def weighted_choice(u: Column, values: list, weights: list[float]) -> Column:
     """Pick a value with the given probability, by cumulative weight."""
-    total, ladder = 0.0, None
+    total, ladder = 0.0, F
     for value, weight in zip(values[:-1], weights[:-1]):
         total = round(total + weight, 12)
-        hit = u < F.lit(total)
-        ladder = (ladder or F).when(hit, F.lit(value))
+        ladder = ladder.when(u < F.lit(total), F.lit(value))
     return ladder.otherwise(F.lit(values[-1]))
 
 

@@ -19,3 +19,8 @@ def round_half_even(x: Column, digits: int = 0) -> Column:
 
 def logistic(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def unsigned_zero(x: Column) -> Column:
+    """Negative zero as zero; everything else as it is."""
+    return F.when(x == F.lit(0.0), F.lit(0.0)).otherwise(x)

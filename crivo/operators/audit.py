@@ -3,15 +3,26 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crivo.operators.skew import HOT_ROWS, hot_keys, salted_left_join
 
-def audit(references: DataFrame, payloads: DataFrame) -> DataFrame:
+_HASH = "_uri_hash"
+
+
+def audit(references: DataFrame, payloads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every reference with its payload.
 
     A reference without payload keeps its row; ``id_contrato`` is the
-    payload's, so it is NULL there. Spark picks the join by size and splits a
-    URI that many spans share when it finds the skew.
+    payload's, so it is NULL there. A URI that more than ``hot_rows`` spans
+    share is spread over tasks. URIs are counted by an 8-byte hash, which moves
+    far less than the texts would.
     """
-    return references.join(payloads, "payload_uri", "left").select(
+    refs = references.withColumn(_HASH, F.xxhash64("payload_uri"))
+    kept = payloads.select("payload_uri", "id_contrato", "versao_modelo", "response")
+    kept = kept.withColumn(_HASH, F.xxhash64("payload_uri"))
+    hot = hot_keys(refs, _HASH, hot_rows)
+    spread = F.struct("id_contrato_trace", "payload_bytes", F.monotonically_increasing_id())
+    joined = salted_left_join(refs, kept, ["payload_uri", _HASH], _HASH, spread, hot)
+    return joined.select(
         "id_contrato",
         "versao_modelo",
         "payload_bytes",
@@ -22,8 +33,13 @@ def audit(references: DataFrame, payloads: DataFrame) -> DataFrame:
 
 
 def references_without_payload(references: DataFrame, payloads: DataFrame) -> DataFrame:
-    return references.join(payloads.select("payload_uri"), "payload_uri", "left_anti")
+    return references.join(_uris(payloads), "payload_uri", "left_anti")
 
 
 def payloads_without_reference(references: DataFrame, payloads: DataFrame) -> DataFrame:
-    return payloads.join(references.select("payload_uri"), "payload_uri", "left_anti")
+    return payloads.join(_uris(references), "payload_uri", "left_anti")
+
+
+def _uris(df: DataFrame) -> DataFrame:
+    """Each URI once; copies already fold on the map side."""
+    return df.select("payload_uri").distinct()

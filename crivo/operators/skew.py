@@ -35,43 +35,34 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame | None
 def salted_left_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    on: list[str],
+    hot_key: str,
     spread: Column,
     hot: DataFrame | None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join on ``key``, with the rows of hot keys spread over salts.
+    """Left join, with the rows of hot keys spread over salts.
 
-    Without hot keys this is the plain join. ``spread`` is any expression over
-    the left columns that differs between rows of one key.
+    ``hot_key`` is the column of ``on`` that ``hot`` lists values of, and
+    ``spread`` an expression over the left columns that differs between rows of
+    one key. Without hot keys this is the plain join.
     """
     if hot is None:
-        return left.join(right, key, "left")
-    marked = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    salted_left = (
-        left.join(marked, F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(
-                F.lit(0).cast("bigint")
-            ),
+        return left.join(right, on, "left")
+    marked = F.broadcast(hot.select(F.col(hot_key).alias("_hot")))
+    is_hot, none = F.col("_hot").isNotNull(), F.lit(0).cast("bigint")
+    every_salt = F.sequence(none, F.lit(salts - 1).cast("bigint"))
+
+    def salted(side: DataFrame, salt: Column) -> DataFrame:
+        return (
+            side.join(marked, F.col(hot_key) == F.col("_hot"), "left")
+            .withColumn("_salt", salt)
+            .drop("_hot")
         )
-        .drop("_hot")
-    )
-    salted_right = (
-        right.join(marked, F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(
-                    F.col("_hot").isNotNull(),
-                    F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")),
-                ).otherwise(F.array(F.lit(0).cast("bigint")))
-            ),
-        )
-        .drop("_hot")
-    )
-    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
+
+    one = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts).cast("bigint"))).otherwise(none)
+    each = F.explode(F.when(is_hot, every_salt).otherwise(F.array(none)))
+    return salted(left, one).join(salted(right, each), [*on, "_salt"], "left").drop("_salt")
 
 
 def time_levels(ts: Column, unique_key: Column) -> list[Column]:

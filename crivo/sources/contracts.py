@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from crivo import schema
 from crivo.functions import credit
 from crivo.functions.hashing import hash32
-from crivo.functions.numeric import clip, logistic, round_half_even
+from crivo.functions.numeric import clip, logistic, round_half_even, unsigned_zero
 from crivo.operators.skew import HOT_ROWS, hot_keys, position_in_group, salted_left_join, time_levels
 from crivo.sources.tables import read_parquet
 
@@ -51,10 +51,13 @@ def contract_terms(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
         name="num_contratos_anteriores",
         hot=hot,
     )
-    owned = salted_left_join(ranked, customers, "o_custkey", F.col("o_orderkey"), hot)
+    owned = salted_left_join(
+        ranked, customers, ["o_custkey"], "o_custkey", F.col("o_orderkey"), hot
+    )
     located = owned.join(nations, "c_nationkey", "left")
 
-    discount = F.coalesce(F.col("discount"), F.lit(0.0))
+    # Which of two equal zeros a maximum returns is up to the engine.
+    discount = unsigned_zero(F.coalesce(F.col("discount"), F.lit(0.0)))
     tax = F.coalesce(F.col("tax"), F.lit(0.0))
     financed = round_half_even(clip(F.col("o_totalprice"), 20_000.0, 1_500_000.0), -2)
     share = F.least(discount * F.lit(4.0), F.lit(0.4))

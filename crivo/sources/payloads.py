@@ -30,7 +30,7 @@ def with_payloads(
     model: str,
     version: int,
     run_id: str,
-    base: str,
+    uri_base: str,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Add the payload, its size in bytes and its URI to answered contracts.
@@ -59,7 +59,7 @@ def with_payloads(
         )
     )
     uri = F.concat(
-        F.lit(f"{base.rstrip('/')}/{_BUCKET}="),
+        F.lit(f"{uri_base.rstrip('/')}/{_BUCKET}="),
         F.col(_BUCKET).cast("string"),
         F.lit("/"),
         key.cast("string"),
