@@ -13,8 +13,18 @@ def clip(x: Column, low: float, high: float) -> Column:
 
 
 def round_half_even(x: Column, digits: int = 0) -> Column:
-    """Round ties to the even neighbour; ``digits`` may be negative."""
-    return F.bround(x, digits)
+    """Round ties to the even neighbour; ``digits`` may be negative.
+
+    Scales, rounds to a whole number and scales back, as array libraries do.
+    Unlike ``bround`` this needs no decimal per row, and agrees with them where
+    scaling turns a decimal tie into a binary near-tie.
+    """
+    scale = F.lit(float(10 ** abs(digits)))
+    if digits > 0:
+        return F.rint(x * scale) / scale
+    if digits < 0:
+        return F.rint(x / scale) * scale
+    return F.rint(x)
 
 
 def logistic(z: Column) -> Column:

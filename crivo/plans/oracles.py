@@ -1,7 +1,8 @@
 """The registered queries in plain SQL, to check them against another engine.
 
 Written from the definitions, not from the Spark plans: ranks are plain windows
-and AUC is counted over whole groups.
+and AUC is counted over whole groups. Rounding scales, rounds to the even whole number
+and scales back, as array libraries do.
 """
 
 _HASH = "('0x' || substr(md5('{name}|' || {key}), 1, 8))::BIGINT"
@@ -29,13 +30,13 @@ WITH lines AS (
   LEFT JOIN nation ON n_nationkey = c_nationkey
   LEFT JOIN region ON r_regionkey = n_regionkey
 ), financed AS (
-  SELECT *, round_even({_clip('o_totalprice', '20000e0', '1500000e0')}, -2) AS valor_financiado
+  SELECT *, round_even(({_clip('o_totalprice', '20000e0', '1500000e0')}) / 1e2, 0) * 1e2 AS valor_financiado
   FROM joined
 ), terms AS (
   SELECT o_orderkey AS id_contrato, valor_financiado,
-         round_even(valor_financiado * least(d * 4e0, 0.4e0), -2) AS valor_entrada,
+         round_even((valor_financiado * least(d * 4e0, 0.4e0)) / 1e2, 0) * 1e2 AS valor_entrada,
          (24 + 12 * (o_orderkey % 6))::BIGINT AS prazo_meses,
-         round_even(0.6e0 + t * 20e0, 2) AS taxa_juros,
+         round_even((0.6e0 + t * 20e0) * 1e2, 0) / 1e2 AS taxa_juros,
          {_clip('(c_acctbal * 20e0)', '30000e0', '2000000e0')} AS renda_anual,
          (300 + {_hash('score', 'o_orderkey')} % 601)::DOUBLE AS score_credito,
          (18 + o_custkey % 63)::BIGINT AS idade_cliente,
@@ -61,9 +62,9 @@ WITH lines AS (
   FROM committed
 ), contracts AS (
   SELECT *, 1e0 / (1e0 + exp(-risco)) AS prob_exata,
-         round_even(1e0 / (1e0 + exp(-risco)), 6) AS prob,
-         round_even(1e0 / (1e0 + exp(-risco_fraco)), 6) AS prob_sem_utilizacao,
-         round_even(comprometimento, 3) AS comprometimento_renda,
+         round_even((1e0 / (1e0 + exp(-risco))) * 1e6, 0) / 1e6 AS prob,
+         round_even((1e0 / (1e0 + exp(-risco_fraco))) * 1e6, 0) / 1e6 AS prob_sem_utilizacao,
+         round_even((comprometimento) * 1e3, 0) / 1e3 AS comprometimento_renda,
          (({_hash('label', 'id_contrato')} % 1000000) / 1000000e0
             < 1e0 / (1e0 + exp(-risco)))::BIGINT AS inadimplente
   FROM risky
@@ -139,7 +140,7 @@ _ACCURACY_F1 = (
 
 _ANSWERED = f"""
 , answered AS (
-  SELECT * REPLACE (round_even(prob, 4) AS prob),
+  SELECT * REPLACE (round_even((prob) * 1e4, 0) / 1e4 AS prob),
          (prob >= 0.5e0)::BIGINT AS classe,
          md5(id_contrato || '|1|r1') AS pid
   FROM contracts
@@ -206,12 +207,12 @@ def _generated() -> str:
 WITH drawn AS (
   SELECT o_orderkey AS id_contrato, {', '.join(f'{u(i)} AS u{i}' for i in range(23))} FROM orders
 ), raw AS (
-  SELECT *, round_even({_clip(f"exp({normal(4, '11.9e0', '0.6e0')})", '20000e0', '1500000e0')}, -2)
+  SELECT *, round_even(({_clip(f"exp({normal(4, '11.9e0', '0.6e0')})", '20000e0', '1500000e0')}) / 1e2, 0) * 1e2
            AS valor_financiado,
          (CASE WHEN u7 < 0.1e0 THEN 24 WHEN u7 < 0.3e0 THEN 36 WHEN u7 < 0.6e0 THEN 48
               WHEN u7 < 0.8e0 THEN 60 WHEN u7 < 0.9e0 THEN 72 ELSE 84 END)::BIGINT AS prazo_meses,
-         round_even({_clip(normal(8, '1.6e0', '0.4e0'), '0.6e0', '3.5e0')}, 2) AS taxa_juros,
-         round_even({_clip(f"exp({normal(2, '12.4e0', '0.55e0')})", '30000e0', '2000000e0')}, -2)
+         round_even(({_clip(normal(8, '1.6e0', '0.4e0'), '0.6e0', '3.5e0')}) * 1e2, 0) / 1e2 AS taxa_juros,
+         round_even(({_clip(f"exp({normal(2, '12.4e0', '0.55e0')})", '30000e0', '2000000e0')}) / 1e2, 0) * 1e2
            AS renda_anual,
          round_even({_clip(normal(0, '640e0', '90e0'), '300e0', '900e0')}, 0) AS score_credito,
          round_even({_clip(normal(10, '45e0', '12e0'), '18e0', '80e0')}, 0)::BIGINT
@@ -221,12 +222,12 @@ WITH drawn AS (
          (['Trator', 'Colheitadeira', 'Pulverizador', 'Plantadeira', 'Implemento'])
            [floor(u19 * 5)::INT + 1] AS tipo_equipamento,
          (2021 + floor(u12 * 5))::BIGINT AS safra,
-         round_even(list_sort([u13, u14, u15, u16])[2], 3) AS utilizacao_credito,
+         round_even((list_sort([u13, u14, u15, u16])[2]) * 1e3, 0) / 1e3 AS utilizacao_credito,
          (CASE {poisson} ELSE {limit} END)::BIGINT AS num_contratos_anteriores,
          {normal(20, '0e0', '0.6e0')} AS ruido
   FROM drawn
 ), entered AS (
-  SELECT *, round_even(valor_financiado * (0e0 + 0.4e0 * u6), -2) AS valor_entrada FROM raw
+  SELECT *, round_even((valor_financiado * (0e0 + 0.4e0 * u6)) / 1e2, 0) * 1e2 AS valor_entrada FROM raw
 ), paid AS (
   SELECT *, (valor_financiado - valor_entrada) * (taxa_juros / 100e0)
             / (1e0 - pow(1e0 + taxa_juros / 100e0, -prazo_meses)) AS parcela
@@ -236,7 +237,7 @@ WITH drawn AS (
 )
 SELECT id_contrato, valor_financiado, valor_entrada, prazo_meses, taxa_juros, renda_anual,
        score_credito, idade_cliente, regiao, tipo_equipamento, safra, utilizacao_credito,
-       num_contratos_anteriores, round_even(comprometimento, 3) AS comprometimento_renda,
+       num_contratos_anteriores, round_even((comprometimento) * 1e3, 0) / 1e3 AS comprometimento_renda,
        (u22 < 1e0 / (1e0 + exp(-(-3e0 + 2.4e0 * comprometimento + 1.8e0 * utilizacao_credito
             + -0.004e0 * (score_credito - 640) + 0.15e0 * (prazo_meses / 12e0)
             + -0.2e0 * num_contratos_anteriores + ruido))))::BIGINT AS inadimplente
@@ -302,18 +303,18 @@ def oracle_sql() -> dict[str, str]:
         "clip_round": f"""
 SELECT l_orderkey, l_linenumber,
        {_clip('l_extendedprice', '5000e0', '60000e0')} AS clipped,
-       round_even(l_extendedprice, -2) AS hundreds, round_even(l_extendedprice, 0) AS whole,
-       round_even(l_quantity / 7e0, 2) AS cents, round_even(l_quantity / 7e0, 3) AS mills
+       round_even((l_extendedprice) / 1e2, 0) * 1e2 AS hundreds, round_even(l_extendedprice, 0) AS whole,
+       round_even((l_quantity / 7e0) * 1e2, 0) / 1e2 AS cents, round_even((l_quantity / 7e0) * 1e3, 0) / 1e3 AS mills
 FROM lineitem""",
         "instalment": _contracts(
-            "SELECT id_contrato, round_even(parcela, 2) AS parcela FROM contracts"
+            "SELECT id_contrato, round_even((parcela) * 1e2, 0) / 1e2 AS parcela FROM contracts"
         ),
         "commitment_ratio": _contracts(
-            "SELECT id_contrato, round_even(comprometimento, 9) AS comprometimento,"
+            "SELECT id_contrato, round_even((comprometimento) * 1e9, 0) / 1e9 AS comprometimento,"
             " comprometimento_renda FROM contracts"
         ),
         "risk_score": _contracts(
-            "SELECT id_contrato, round_even(risco, 9) AS risco, prob FROM contracts"
+            "SELECT id_contrato, round_even((risco) * 1e9, 0) / 1e9 AS risco, prob FROM contracts"
         ),
         "default_label": _contracts("SELECT id_contrato, inadimplente FROM contracts"),
         "threshold_class": _contracts(
@@ -418,7 +419,7 @@ FROM sides"""
         ),
         "score_batch_proba": _contracts(
             "SELECT id_contrato, (prob >= 0.5e0)::INTEGER AS predicao_inadimplente,"
-            f" round_even(prob, 4) AS prob_inadimplencia, {_LINEAGE} FROM contracts"
+            f" round_even((prob) * 1e4, 0) / 1e4 AS prob_inadimplencia, {_LINEAGE} FROM contracts"
         ),
         "predictions_table": _contracts(
             f"SELECT id_contrato, (prob > 0.5e0)::INTEGER AS predicao_inadimplente, {_LINEAGE}"
@@ -433,7 +434,7 @@ FROM sides"""
         ),
         "score_sample": _contracts(
             "SELECT id_contrato, (prob >= 0.5e0)::BIGINT AS inadimplente,"
-            " round_even(prob, 4) AS prob FROM contracts ORDER BY id_contrato LIMIT 5"
+            " round_even((prob) * 1e4, 0) / 1e4 AS prob FROM contracts ORDER BY id_contrato LIMIT 5"
         ),
         "trace_spans": _contracts(
             _ANSWERED
