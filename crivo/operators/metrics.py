@@ -25,42 +25,8 @@ def auc(
     aggregation on, so no task holds a whole group. The pair counts are
     decimals since they outgrow a bigint.
     """
-    value, y = F.col(score), F.col(label)
-    in_range = value.between(0.0, 1.0) & ~F.isnan(value) & y.isin(*schema.CLASSES)
-    checked = F.when(F.coalesce(in_range, F.lit(False)), value + F.lit(0.0)).otherwise(
-        F.raise_error(F.lit("AUC needs a score in [0, 1] and a label on every row")).cast("double")
-    )
-    fine = F.floor(F.col("_score") * F.lit(float(_DIGIT**_DIGITS))).cast("bigint")
-
-    counts = (
-        df.select(*by, checked.alias("_score"), y.alias("_y"))
-        .groupBy(*by, "_score")
-        .agg(
-            F.count_if(F.col("_y") == 1).cast(_WHOLE).alias("_pos"),
-            F.count_if(F.col("_y") == 0).cast(_WHOLE).alias("_neg"),
-        )
-        # Twice the won pairs, so that half a point for a tie stays whole.
-        .withColumn("_won", F.col("_pos") * F.col("_neg"))
-        .withColumn("_d0", fine)
-    )
-    parents = [f"_d{i}" for i in range(_DIGITS)]
-    for depth, parent in enumerate(parents):
-        below = "_score" if depth == 0 else parents[depth - 1]
-        counts = _add_won_pairs(counts, [*by, parent], below)
-        counts = _sum_counts(counts, [*by, parent])
-        if depth + 1 < _DIGITS:
-            counts = counts.withColumn(
-                parents[depth + 1], F.expr(f"{parent} div {_DIGIT}")
-            )
-    counts = _sum_counts(_add_won_pairs(counts, list(by), parents[-1]), list(by))
-
-    pairs = F.lit(2.0) * F.col("_pos").cast("double") * F.col("_neg").cast("double")
-    return counts.select(
-        *by,
-        F.col("_pos").cast("bigint").alias("n_positive"),
-        F.col("_neg").cast("bigint").alias("n_negative"),
-        F.when(pairs > 0, F.col("_won").cast("double") / pairs).alias("auc"),
-    )
+    counts = _pair_counts(df, label, score, by)
+    return counts.select(*by, "n_positive", "n_negative", "auc")
 
 
 def confusion_counts(
@@ -80,23 +46,17 @@ def classification_metrics(
 ) -> DataFrame:
     """Accuracy and F1 of class 1; F1 is 0 when class 1 neither occurs nor is
     predicted."""
-    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
-    counts = confusion_counts(df, label, predicted, by)
-    accuracy = F.try_divide((tp + tn).cast("double"), (tp + fp + tn + fn).cast("double"))
-    f1 = F.try_divide(F.lit(2.0) * tp, (F.lit(2) * tp + fp + fn).cast("double"))
-    return counts.select(
-        *by, accuracy.alias("accuracy"), F.coalesce(f1, F.lit(0.0)).alias("f1")
-    )
+    return confusion_counts(df, label, predicted, by).select(*by, *_accuracy_and_f1())
 
 
 def evaluate(
     df: DataFrame, by: str, label: str = schema.LABEL, score: str = "prob"
 ) -> DataFrame:
     """AUC, accuracy and F1 at the 0.5 threshold, one row per model named in
-    column ``by``."""
-    classed = df.withColumn("predicao", threshold_class(F.col(score)))
-    ranked = auc(df, label, score, (by,)).select(by, "auc")
-    return classification_metrics(classed, label, "predicao", (by,)).join(ranked, by)
+    column ``by``. All three come from the same counts per score, so the rows
+    are scored once."""
+    counts = _pair_counts(df, label, score, (by,))
+    return counts.select(by, *_accuracy_and_f1(), "auc")
 
 
 def default_rate(df: DataFrame, label: str = schema.LABEL) -> DataFrame:
@@ -117,6 +77,61 @@ def stack_scores(df: DataFrame, scores: dict[str, str], keep: list[str]) -> Data
     )
 
 
+def _accuracy_and_f1() -> list[Column]:
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    accuracy = F.try_divide((tp + tn).cast("double"), (tp + fp + tn + fn).cast("double"))
+    f1 = F.try_divide(F.lit(2.0) * tp, (F.lit(2) * tp + fp + fn).cast("double"))
+    return [accuracy.alias("accuracy"), F.coalesce(f1, F.lit(0.0)).alias("f1")]
+
+
+def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) -> DataFrame:
+    """Class sizes, confusion counts at the threshold and AUC, per group."""
+    value, y = F.col(score), F.col(label)
+    in_range = value.between(0.0, 1.0) & ~F.isnan(value) & y.isin(*schema.CLASSES)
+    checked = F.when(F.coalesce(in_range, F.lit(False)), value + F.lit(0.0)).otherwise(
+        F.raise_error(F.lit("AUC needs a score in [0, 1] and a label on every row")).cast("double")
+    )
+    fine = F.floor(F.col("_score") * F.lit(float(_DIGIT**_DIGITS))).cast("bigint")
+    called = threshold_class(F.col("_score")).cast(_WHOLE)
+
+    counts = (
+        df.select(*by, checked.alias("_score"), y.alias("_y"))
+        .groupBy(*by, "_score")
+        .agg(
+            F.count_if(F.col("_y") == 1).cast(_WHOLE).alias("_pos"),
+            F.count_if(F.col("_y") == 0).cast(_WHOLE).alias("_neg"),
+        )
+        # Twice the won pairs, so that half a point for a tie stays whole.
+        .withColumns(
+            {
+                "_won": F.col("_pos") * F.col("_neg"),
+                "_tp": F.col("_pos") * called,
+                "_fp": F.col("_neg") * called,
+                "_d0": fine,
+            }
+        )
+    )
+    parents = [f"_d{i}" for i in range(_DIGITS)]
+    for depth, parent in enumerate(parents):
+        below = "_score" if depth == 0 else parents[depth - 1]
+        counts = _sum_counts(_add_won_pairs(counts, [*by, parent], below), [*by, parent])
+        if depth + 1 < _DIGITS:
+            counts = counts.withColumn(parents[depth + 1], F.expr(f"{parent} div {_DIGIT}"))
+    counts = _sum_counts(_add_won_pairs(counts, list(by), parents[-1]), list(by))
+
+    pairs = F.lit(2.0) * F.col("_pos").cast("double") * F.col("_neg").cast("double")
+    return counts.select(
+        *by,
+        F.col("_pos").cast("bigint").alias("n_positive"),
+        F.col("_neg").cast("bigint").alias("n_negative"),
+        F.col("_tp").cast("bigint").alias("tp"),
+        F.col("_fp").cast("bigint").alias("fp"),
+        (F.col("_neg") - F.col("_fp")).cast("bigint").alias("tn"),
+        (F.col("_pos") - F.col("_tp")).cast("bigint").alias("fn"),
+        F.when(pairs > 0, F.col("_won").cast("double") / pairs).alias("auc"),
+    )
+
+
 def _add_won_pairs(counts: DataFrame, parent: list[str], order: str) -> DataFrame:
     earlier = Window.partitionBy(*parent).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -128,11 +143,9 @@ def _add_won_pairs(counts: DataFrame, parent: list[str], order: str) -> DataFram
 
 
 def _sum_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
-    return counts.groupBy(*keys).agg(
-        F.sum("_pos").cast(_WHOLE).alias("_pos"),
-        F.sum("_neg").cast(_WHOLE).alias("_neg"),
-        F.sum("_won").cast("decimal(38,0)").alias("_won"),
-    )
+    sums = [F.sum(c).cast(_WHOLE).alias(c) for c in ("_pos", "_neg", "_tp", "_fp")]
+    won = F.sum("_won").cast("decimal(38,0)").alias("_won")
+    return counts.groupBy(*keys).agg(*sums, won)
 
 
 def _times(a: Column, b: Column) -> Column:

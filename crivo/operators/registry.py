@@ -101,9 +101,9 @@ class LoadedModel:
 class Registry:
     """One model's registry in a folder all executors share.
 
-    Holds a handful of rows per version. One writer at a time: parquet has no
-    compare-and-swap, so two writers could take the same number; reading then
-    raises.
+    Holds a handful of rows per version. Versions and events are numbered from
+    one without a gap. One writer at a time: parquet has no compare-and-swap,
+    so two writers could take the same number; the next call then raises.
     """
 
     def __init__(self, spark: SparkSession, folder: str, model: str):
@@ -135,64 +135,80 @@ class Registry:
         input_example: DataFrame | None = None,
     ) -> int:
         """Save the model under the next version number and return it."""
-        highest = fold_versions(self._own_events()).agg(F.max("version")).first()[0]
-        version = (highest or 0) + 1
-        path = f"{self._folder}/models/{self.model}/v={version}"
+        facts = self._facts()
+        version = facts.n_versions + 1
+        path = self._path(version)
         forest.write().overwrite().save(f"{path}/forest")
         if input_example is not None:
             input_example.write.mode("overwrite").json(f"{path}/input_example")
         self._append("signatures", signature_table(self._spark, self.model, version, signature))
-        self._record(REGISTER, version=version, value=path)
+        self._record(facts.last_seq, REGISTER, version=version, value=path)
         return version
 
     def set_alias(self, alias: str, version: int) -> None:
-        known = fold_versions(self._own_events()).where(F.col("version") == version)
-        if known.isEmpty():
+        facts = self._facts()
+        if not 1 <= version <= facts.n_versions:
             raise ValueError(f"{self.model} has no version {version}")
-        self._record(SET_ALIAS, key=alias, version=version)
+        self._record(facts.last_seq, SET_ALIAS, key=alias, version=version)
 
     def delete_alias(self, alias: str) -> None:
-        self._record(DELETE_ALIAS, key=alias)
+        self._record(self._facts().last_seq, DELETE_ALIAS, key=alias)
 
     def set_tag(self, key: str, value: str) -> None:
-        self._record(SET_TAG, key=key, value=value)
+        self._record(self._facts().last_seq, SET_TAG, key=key, value=value)
 
     def set_description(self, text: str) -> None:
-        self._record(SET_DESCRIPTION, value=text)
+        self._record(self._facts().last_seq, SET_DESCRIPTION, value=text)
 
     def version_of(self, alias: str) -> int | None:
-        rows = fold_aliases(self._own_events()).where(F.col("alias") == alias).collect()
-        return rows[0].version if rows else None
+        return self._facts(alias).alias_version
 
     def load(self, alias: str) -> LoadedModel:
         """The model an alias points to, with the signature it was saved with."""
         version = self.version_of(alias)
         if version is None:
             raise ValueError(f"{self.model} has no alias {alias}")
-        saved = fold_versions(self._own_events()).where(F.col("version") == version).first()
         rows = (
             self.signatures()
             .where((F.col("model") == self.model) & (F.col("version") == version))
-            .orderBy("pos")
             .collect()
         )
         return LoadedModel(
             self.model,
             version,
-            RandomForestClassificationModel.load(f"{saved.path}/forest"),
-            [SignatureColumn(r.name, r.type, r.source, r.category) for r in rows],
+            RandomForestClassificationModel.load(f"{self._path(version)}/forest"),
+            [
+                SignatureColumn(r.name, r.type, r.source, r.category)
+                for r in sorted(rows, key=lambda r: r.pos)
+            ],
         )
 
-    def _own_events(self) -> DataFrame:
-        own = self.events().where(F.col("model") == self.model)
-        twice = duplicate_sequence_numbers(own).first()
-        if twice is not None:
-            raise ValueError(f"{self.model} has two events with number {twice.seq}")
-        return own
+    def _path(self, version: int) -> str:
+        return f"{self._folder}/models/{self.model}/v={version}"
+
+    def _facts(self, alias: str | None = None):
+        """What the next change depends on, in one pass over the events."""
+        of_alias = F.col("op").isin(SET_ALIAS, DELETE_ALIAS) & (F.col("key") == F.lit(alias))
+        facts = (
+            self.events()
+            .where(F.col("model") == self.model)
+            .agg(
+                F.coalesce(F.max("seq"), F.lit(0)).alias("last_seq"),
+                F.count(F.lit(1)).alias("n_events"),
+                F.count_if(F.col("op") == REGISTER).alias("n_versions"),
+                # A deletion carries no version, so the latest row decides.
+                F.max(F.when(of_alias, F.struct("seq", "version")))["version"].alias(
+                    "alias_version"
+                ),
+            )
+            .first()
+        )
+        if facts.last_seq != facts.n_events:
+            raise ValueError(f"events of {self.model} are not numbered 1 to n: two writers?")
+        return facts
 
-    def _record(self, op: str, key=None, version=None, value=None) -> None:
-        last = self._own_events().agg(F.max("seq")).first()[0]
-        row = [(self.model, (last or 0) + 1, op, key, version, value, None)]
+    def _record(self, last_seq: int, op: str, key=None, version=None, value=None) -> None:
+        row = [(self.model, last_seq + 1, op, key, version, value, None)]
         event = self._spark.createDataFrame(row, EVENTS)
         self._append("events", event.withColumn("actor", F.current_user()))
 

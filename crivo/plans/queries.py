@@ -3,6 +3,7 @@
 import datetime
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -459,12 +460,15 @@ def trace_tables(spark: SparkSession, folder: str) -> DataFrame:
     spans = _spans(_with_payloads(spark, folder))
     traces.ensure_span_table(spark, namespace, prefix)
     traces.ensure_span_table(spark, namespace, prefix.replace("_", "x"))
-    stored = traces.store_spans(spans, namespace, prefix)
-    listed = tables_with_prefix(spark, namespace, prefix)
-    counted = traces.count_spans(stored).withColumn(
-        "table_name", F.lit(f"{prefix}{traces.SPAN_TABLE_SUFFIX}")
-    )
-    return listed.join(counted, "table_name", "left").select("table_name", "n_spans")
+    traces.store_spans(spans, namespace, prefix)
+    names = [r.table_name for r in tables_with_prefix(spark, namespace, prefix).collect()]
+    counted = [
+        traces.count_spans(spark.table(f"{namespace}.{name}")).select(
+            F.lit(name).alias("table_name"), "n_spans"
+        )
+        for name in names
+    ]
+    return reduce(DataFrame.unionAll, counted)
 
 
 def _event_spans(spark: SparkSession, folder: str) -> DataFrame:
