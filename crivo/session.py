@@ -23,6 +23,9 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM does not compile methods beyond 8,000 bytes; a stage whose
+        # generated method is larger runs faster operator by operator.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
     )
