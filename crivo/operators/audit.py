@@ -13,14 +13,16 @@ def audit(references: DataFrame, payloads: DataFrame, hot_rows: int = HOT_ROWS)
 
     A reference without payload keeps its row; ``id_contrato`` is the
     payload's, so it is NULL there. A URI that more than ``hot_rows`` spans
-    share is spread over tasks. URIs are counted by an 8-byte hash, which moves
-    far less than the texts would.
+    share is spread over tasks by the other columns of the reference, such as
+    the trace: values of the row, so that a task run again sends it the same
+    way. URIs are counted by an 8-byte hash, which moves far less than the
+    texts would.
     """
     refs = references.withColumn(_HASH, F.xxhash64("payload_uri"))
     kept = payloads.select("payload_uri", "id_contrato", "versao_modelo", "response")
     kept = kept.withColumn(_HASH, F.xxhash64("payload_uri"))
     hot = hot_keys(refs, _HASH, hot_rows)
-    spread = F.struct("id_contrato_trace", "payload_bytes", F.monotonically_increasing_id())
+    spread = F.struct(*references.columns)
     joined = salted_left_join(refs, kept, ["payload_uri", _HASH], _HASH, spread, hot)
     return joined.select(
         "id_contrato",

@@ -81,9 +81,13 @@ def fit_forest(
         "weight",
         "features",
     )
-    laid_out = labelled.repartition(params.partitions, key).sortWithinPartitions(key)
-    if params.cache_node_ids:
-        enable_checkpoints(train.sparkSession)
+    # The learner asks for the rows of its input four times, and each time the
+    # joins and the shuffle above would run again. A checkpoint keeps partitions
+    # and order, which a written table would not.
+    enable_checkpoints(train.sparkSession)
+    laid_out = (
+        labelled.repartition(params.partitions, key).sortWithinPartitions(key).checkpoint()
+    )
     model = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from crivo import schema
 from crivo.functions.credit import threshold_class
 
-_WHOLE = "decimal(19,0)"
+# Counts fit a bigint, counts of pairs do not.
+_COUNT = "decimal(19,0)"
+_PAIRS = "decimal(38,0)"
 # Two digits of 10^6 each: a window over one digit holds at most 10^6 + 1 rows.
 _DIGIT = 1_000_000
 _DIGITS = 2
@@ -22,8 +24,7 @@ def auc(
     the pairs are counted digit by digit: within equal leading digits, each
     positive meets the negatives with a smaller next digit. Every window is
     over one digit, and rows with equal scores are one row from the first
-    aggregation on, so no task holds a whole group. The pair counts are
-    decimals since they outgrow a bigint.
+    aggregation on, so no task holds a whole group.
     """
     counts = _pair_counts(df, label, score, by)
     return counts.select(*by, "n_positive", "n_negative", "auc")
@@ -92,19 +93,19 @@ def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) ->
         F.raise_error(F.lit("AUC needs a score in [0, 1] and a label on every row")).cast("double")
     )
     fine = F.floor(F.col("_score") * F.lit(float(_DIGIT**_DIGITS))).cast("bigint")
-    called = threshold_class(F.col("_score")).cast(_WHOLE)
+    called = threshold_class(F.col("_score")).cast("bigint")
 
     counts = (
         df.select(*by, checked.alias("_score"), y.alias("_y"))
         .groupBy(*by, "_score")
         .agg(
-            F.count_if(F.col("_y") == 1).cast(_WHOLE).alias("_pos"),
-            F.count_if(F.col("_y") == 0).cast(_WHOLE).alias("_neg"),
+            F.count_if(F.col("_y") == 1).alias("_pos"),
+            F.count_if(F.col("_y") == 0).alias("_neg"),
         )
-        # Twice the won pairs, so that half a point for a tie stays whole.
         .withColumns(
             {
-                "_won": F.col("_pos") * F.col("_neg"),
+                # Twice the won pairs, so that half a point for a tie stays whole.
+                "_won": _times(F.col("_pos"), F.col("_neg")),
                 "_tp": F.col("_pos") * called,
                 "_fp": F.col("_neg") * called,
                 "_d0": fine,
@@ -122,12 +123,12 @@ def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) ->
     pairs = F.lit(2.0) * F.col("_pos").cast("double") * F.col("_neg").cast("double")
     return counts.select(
         *by,
-        F.col("_pos").cast("bigint").alias("n_positive"),
-        F.col("_neg").cast("bigint").alias("n_negative"),
-        F.col("_tp").cast("bigint").alias("tp"),
-        F.col("_fp").cast("bigint").alias("fp"),
-        (F.col("_neg") - F.col("_fp")).cast("bigint").alias("tn"),
-        (F.col("_pos") - F.col("_tp")).cast("bigint").alias("fn"),
+        F.col("_pos").alias("n_positive"),
+        F.col("_neg").alias("n_negative"),
+        F.col("_tp").alias("tp"),
+        F.col("_fp").alias("fp"),
+        (F.col("_neg") - F.col("_fp")).alias("tn"),
+        (F.col("_pos") - F.col("_tp")).alias("fn"),
         F.when(pairs > 0, F.col("_won").cast("double") / pairs).alias("auc"),
     )
 
@@ -136,17 +137,16 @@ def _add_won_pairs(counts: DataFrame, parent: list[str], order: str) -> DataFram
     earlier = Window.partitionBy(*parent).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    negatives_below = F.sum("_neg").over(earlier).cast(_WHOLE) - F.col("_neg")
-    return counts.withColumn("_below", negatives_below.cast(_WHOLE)).withColumn(
-        "_won", F.col("_won") + _times(F.lit(2) * F.col("_pos"), F.col("_below"))
+    negatives_below = F.sum("_neg").over(earlier) - F.col("_neg")
+    return counts.withColumn("_below", negatives_below).withColumn(
+        "_won", F.col("_won") + _times(F.col("_pos"), F.lit(2) * F.col("_below"))
     )
 
 
 def _sum_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
-    sums = [F.sum(c).cast(_WHOLE).alias(c) for c in ("_pos", "_neg", "_tp", "_fp")]
-    won = F.sum("_won").cast("decimal(38,0)").alias("_won")
-    return counts.groupBy(*keys).agg(*sums, won)
+    sums = [F.sum(c).alias(c) for c in ("_pos", "_neg", "_tp", "_fp")]
+    return counts.groupBy(*keys).agg(*sums, F.sum("_won").cast(_PAIRS).alias("_won"))
 
 
 def _times(a: Column, b: Column) -> Column:
-    return (a.cast(_WHOLE) * b.cast(_WHOLE)).cast("decimal(38,0)")
+    return (a.cast(_COUNT) * b.cast(_COUNT)).cast(_PAIRS)

@@ -117,11 +117,14 @@ def attribute(df: DataFrame, key: str, column: str = "attributes") -> Column:
     return F.get_json_object(column, f"$.{key}")
 
 
-def payload_references(stored: DataFrame, name: str = PAYLOAD_SPAN) -> DataFrame:
+def payload_references(
+    stored: DataFrame, name: str = PAYLOAD_SPAN, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Payload references of the spans of one name. Attributes are texts, so
     the numbers are cast back."""
     return stored.where(F.col("name") == name).select(
         attribute(stored, "payload_uri").alias("payload_uri"),
         attribute(stored, "id_contrato").cast("bigint").alias("id_contrato_trace"),
         attribute(stored, "payload_bytes").cast("bigint").alias("payload_bytes"),
+        *keep,
     )

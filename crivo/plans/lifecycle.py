@@ -194,7 +194,7 @@ def first_of_features(ws: Workspace, k: int = POINT_ROWS) -> DataFrame:
 def audit_payloads(ws: Workspace, prefix: str = PAYLOAD_TRACE_PREFIX) -> DataFrame:
     """Spans of the payload scoring joined to what they refer to."""
     stored = ws.spark.table(traces.span_table_name(ws.namespace, prefix))
-    references = traces.payload_references(stored)
+    references = traces.payload_references(stored, keep=("trace_id",))
     return auditing.audit(references, files.read_payloads(ws.spark, ws.payload_folder))
 
 

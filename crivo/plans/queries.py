@@ -562,7 +562,8 @@ def _references_and_payloads(spark: SparkSession, folder: str) -> tuple[DataFram
     """Spans of some contracts and payloads of others, so that each side has
     rows the other lacks."""
     answered = staged(_with_payloads(spark, folder), "answered")
-    references = traces.payload_references(_spans(_without_near_certain(answered)))
+    spans = _spans(_without_near_certain(answered))
+    references = traces.payload_references(spans, keep=("trace_id",))
     return references, _written_payloads(answered.where(F.col("score_credito") >= 350.0))
 
 
@@ -598,7 +599,7 @@ def audit_orphans(spark: SparkSession, folder: str) -> DataFrame:
     spans = audit.references_without_payload(references, payloads)
     lost = audit.payloads_without_reference(references, payloads)
     return spans.select(F.lit("span_without_payload").alias("kind"), "payload_uri").unionAll(
-        lost.select(F.lit("payload_without_span"), "payload_uri")
+        lost.select(F.lit("payload_without_span").alias("kind"), "payload_uri")
     )
 
 

@@ -37,8 +37,12 @@ def contract_terms(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
         .join(regions, "n_regionkey", "left")
         .select("c_nationkey", "regiao")
     )
-    customers = read_parquet(spark, folder, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal", "c_mktsegment"
+    # Regions meet the customers first: a nation is a hot key of the orders.
+    customers = (
+        read_parquet(spark, folder, "customer")
+        .select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+        .join(nations, "c_nationkey", "left")
+        .select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment", "regiao")
     )
 
     hot = hot_keys(orders, "o_custkey", hot_rows)
@@ -54,7 +58,6 @@ def contract_terms(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
     owned = salted_left_join(
         ranked, customers, ["o_custkey"], "o_custkey", F.col("o_orderkey"), hot
     )
-    located = owned.join(nations, "c_nationkey", "left")
 
     # Which of two equal zeros a maximum returns is up to the engine.
     discount = unsigned_zero(F.coalesce(F.col("discount"), F.lit(0.0)))
@@ -62,7 +65,7 @@ def contract_terms(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
     financed = round_half_even(clip(F.col("o_totalprice"), 20_000.0, 1_500_000.0), -2)
     share = F.least(discount * F.lit(4.0), F.lit(0.4))
     return (
-        located.withColumn("valor_financiado", financed)
+        owned.withColumn("valor_financiado", financed)
         .withColumn("valor_entrada", round_half_even(F.col("valor_financiado") * share, -2))
         .select(
             F.col("o_orderkey").alias("id_contrato"),
