@@ -43,9 +43,12 @@ HEADLINES = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(
-        "bench", f"local[{cpus}]", {"spark.sql.shuffle.partitions": cpus}
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": cpus,
+        # Tables this small would otherwise be gathered into fewer tasks than cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    }
+    spark = build_session("bench", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     warm_up = Path(folder).parent / "sf0.001"
     registered, seconds = queries(), {}

@@ -42,6 +42,10 @@ def payloads_without_reference(references: DataFrame, payloads: DataFrame) -> Da
     return payloads.join(_uris(references), "payload_uri", "left_anti")
 
 
+def payloads_with_reference(references: DataFrame, payloads: DataFrame) -> DataFrame:
+    return payloads.join(_uris(references), "payload_uri", "left_semi")
+
+
 def _uris(df: DataFrame) -> DataFrame:
     """Each URI once; copies already fold on the map side."""
     return df.select("payload_uri").distinct()

@@ -8,7 +8,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crivo import schema
@@ -27,9 +27,10 @@ class ForestParams:
     num_trees: int
     max_depth: int = DEEPEST
     seed: int = 42
-    # Partitions the training rows are laid out in. The fitted trees depend on
-    # the layout, so it is part of the parameters and not of the cluster.
-    partitions: int = 8
+    # Rows per partition of the training layout. The fitted trees depend on the
+    # layout, so it follows from the rows and not from the cluster.
+    rows_per_partition: int = 500_000
+    least_partitions: int = 8
     max_bins: int = 32
     # Memory for split statistics per pass; more of it means fewer passes.
     memory_mb: int = 512
@@ -68,9 +69,8 @@ def fit_forest(
     """Fit on rows that hold the features (or the matrix), the key and the
     label. Rows are laid out by key, so the same rows give the same forest
     however they arrive."""
-    weights = F.broadcast(class_weights(train, label).select(label, "weight"))
-    rows = align(train, signature, keep=[key, label]).join(weights, label)
-    labelled = _assemble(rows, signature).select(
+    weights = class_weights(train, label).collect()
+    labelled = _assemble(align(train, signature, keep=[key, label]), signature).select(
         key,
         F.col(label)
         .cast("double")
@@ -78,15 +78,17 @@ def fit_forest(
             "label",
             metadata={"ml_attr": {"type": "nominal", "name": "label", "vals": ["0", "1"]}},
         ),
-        "weight",
+        _weight_of(F.col(label), weights).alias("weight"),
         "features",
     )
+    n_rows = sum(row.n_class for row in weights)
+    partitions = max(params.least_partitions, -(-n_rows // params.rows_per_partition))
     # The learner asks for the rows of its input four times, and each time the
     # joins and the shuffle above would run again. A checkpoint keeps partitions
     # and order, which a written table would not.
     enable_checkpoints(train.sparkSession)
     laid_out = (
-        labelled.repartition(params.partitions, key).sortWithinPartitions(key).checkpoint()
+        labelled.repartition(partitions, key).sortWithinPartitions(key).checkpoint()
     )
     model = RandomForestClassifier(
         featuresCol="features",
@@ -128,6 +130,14 @@ def score_forest(
     )
 
 
+def _weight_of(label: Column, weights: list) -> Column:
+    """The weight of each class, a literal per class."""
+    by_class = F
+    for row in weights:
+        by_class = by_class.when(label == F.lit(row[0]), F.lit(row.weight))
+    return by_class.otherwise(F.raise_error(F.lit("label without weight")).cast("double"))
+
+
 def _assemble(df: DataFrame, signature: list[SignatureColumn]) -> DataFrame:
     """Put the signature columns into one vector; NULL becomes NaN, which a
     tree sends to the right."""

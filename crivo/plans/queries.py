@@ -114,17 +114,11 @@ def feature_table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def feature_schema_report(spark: SparkSession, folder: str) -> DataFrame:
     """Columns of the feature table with their number of values."""
     features = feature_table(spark, folder)
-    counts = features.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("name"), F.col(c).isNotNull().alias("has_value"))
-                    for c in features.columns
-                ]
-            )
-        ).alias("cell")
-    )
-    counts = counts.groupBy("cell.name").agg(F.count_if("cell.has_value").alias("n_values"))
+    counts = features.agg(
+        F.array(
+            *[F.struct(F.lit(c).alias("name"), F.count(c).alias("n_values")) for c in features.columns]
+        ).alias("columns")
+    ).select(F.inline("columns"))
     return (
         schema_report(features)
         .join(counts, "name", "left")
@@ -571,8 +565,7 @@ def payload_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Payloads behind the spans, rebuilt from their files and compared with
     what reading their JSON text again gives."""
     references, payloads = _references_and_payloads(spark, folder)
-    found = payloads.join(references.select("payload_uri"), "payload_uri", "left_semi")
-    rebuilt = files.rebuilt(found)
+    rebuilt = files.rebuilt(audit.payloads_with_reference(references, payloads))
     again = F.from_json("json", schema.PAYLOAD)
     return rebuilt.select(
         "payload_uri",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from crivo.operators import encode, forest
 from crivo.operators.forest import ForestParams, class_weights, fit_forest, score_forest
 
-PARAMS = ForestParams(num_trees=4, max_depth=4, partitions=3)
+PARAMS = ForestParams(num_trees=4, max_depth=4, least_partitions=3)
 
 
 @pytest.fixture(scope="module")
@@ -77,7 +77,7 @@ def test_one_half_is_class_zero_for_the_model_and_one_for_the_threshold(spark):
     signature = [encode.SignatureColumn("x", "double")]
     seen = set()
     for seed in range(12):
-        model = fit_forest(df, signature, ForestParams(1, 1, seed=seed, partitions=1))
+        model = fit_forest(df, signature, ForestParams(1, 1, seed=seed, least_partitions=1))
         row = score_forest(df, model, signature, keep=[]).first()
         assert (row.classe_modelo, row.classe_limiar) == (row.prob > 0.5, row.prob >= 0.5)
         seen.add(row.prob == 0.5)
@@ -86,6 +86,23 @@ def test_one_half_is_class_zero_for_the_model_and_one_for_the_threshold(spark):
     pytest.fail("no seed gave one half")
 
 
+def test_layout_follows_the_rows(features, signature, monkeypatch):
+    seen = []
+    fit = forest.RandomForestClassifier.fit
+    monkeypatch.setattr(
+        forest.RandomForestClassifier,
+        "fit",
+        lambda self, df: (seen.append(df.rdd.getNumPartitions()), fit(self, df))[1],
+    )
+    fit_forest(features, signature, ForestParams(2, 2, rows_per_partition=100))
+    assert seen == [15]
+
+
+def test_no_class_to_learn_raises(features, signature):
+    with pytest.raises(Exception):
+        fit_forest(features.limit(0), signature, PARAMS)
+
+
 def test_a_forest_too_large_to_send_raises(features, signature, monkeypatch):
     monkeypatch.setattr(forest, "MOST_NODES", 10)
     with pytest.raises(ValueError, match="too large"):
@@ -93,6 +110,6 @@ def test_a_forest_too_large_to_send_raises(features, signature, monkeypatch):
 
 
 def test_node_cache_gives_the_same_forest(features, signature, model):
-    cached = ForestParams(num_trees=4, max_depth=4, partitions=3, cache_node_ids=True)
+    cached = ForestParams(num_trees=4, max_depth=4, least_partitions=3, cache_node_ids=True)
     again = fit_forest(features, signature, cached)
     assert again.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]

@@ -11,8 +11,8 @@ from crivo.plans import lifecycle
 from crivo.session import fresh_path
 from crivo.streaming import point_scoring
 
-WEAK = ForestParams(num_trees=2, max_depth=1, partitions=2)
-BETTER = ForestParams(num_trees=8, max_depth=5, partitions=2)
+WEAK = ForestParams(num_trees=2, max_depth=1, least_partitions=2)
+BETTER = ForestParams(num_trees=8, max_depth=5, least_partitions=2)
 
 
 @pytest.fixture(scope="module")

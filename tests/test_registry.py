@@ -44,7 +44,7 @@ def test_numbers_used_twice_are_found(spark):
 @pytest.fixture
 def fitted(features):
     signature = encode.matrix_signature(features, encode.vocabulary(features))
-    return fit_forest(features, signature, ForestParams(2, 2, partitions=2)), signature
+    return fit_forest(features, signature, ForestParams(2, 2, least_partitions=2)), signature
 
 
 def test_versions_aliases_and_loading(spark, folder, features, fitted):
