@@ -169,7 +169,7 @@ class RuleParams:
     most_rules: int = 8
     most_tests: int = 3
     precision: float = 0.9
-    least_rows: int = 5
+    least_rows: int = 2
 
 
 def learn_rules(labelled: DataFrame, label: str, params: RuleParams = RuleParams()) -> DecisionList:
