@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from crivo.sources.tables import staged
 
 # Bytes of text that a task turns into hashes at a time: several arrays of
-# eight bytes for each of them are alive meanwhile.
-CHUNK_BYTES = 4 << 20
+# eight bytes for each of them are alive meanwhile, and should fit a cache.
+CHUNK_BYTES = 1 << 18
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -117,9 +117,19 @@ def ngrams(
     return mix(grams[whole]), rows[whole]
 
 
+def by_row(order: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """An order, resorted by row and otherwise left as it is."""
+    numbers = rows[order]
+    # Numbers of 16 bits are sorted by counting.
+    if len(numbers) and numbers.max() < 1 << 16:
+        numbers = numbers.astype(np.uint16)
+    return order[np.argsort(numbers, kind="stable")]
+
+
 def distinct_in_rows(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of each row once, sorted by row and value."""
-    order = np.lexsort((values, rows))
+    order = np.argsort(values)
+    order = by_row(order, rows)
     values, rows = values[order], rows[order]
     new = np.ones(len(values), bool)
     new[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])

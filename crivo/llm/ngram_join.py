@@ -10,12 +10,13 @@ Which pairs are counted follows from the order: two sets that reach the
 threshold share a gram among the first ``n - ceil(t * n) + 1`` grams of each.
 Only those are shuffled, and those that one text alone has go first.
 
-No group of documents with a gram is expanded into pairs. Each is compared with
-the group's hub, the document with the gram nearest to its front; what links
-is one component. After that only pairs of different components are left, and
-of those only the ones in which a document is outside the hub's component.
-Both steps drop pairs whose shared grams cannot reach the threshold any more.
-So components are those of all pairs, and no cap is needed.
+No group of documents with a gram is expanded into pairs. The group's hub is the
+document with the gram nearest to its front, and a document is compared with the
+hub it shares most with; what links is one component. After that only pairs of
+different components are left, and of those only the ones in which a document is
+outside the hub's component. Both steps drop pairs whose shared grams cannot
+reach the threshold any more. So components are those of all pairs, and no cap
+is needed.
 """
 
 from collections.abc import Callable, Iterator
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crivo.llm.common import (
+    by_row,
     connected_components,
     distinct_in_rows,
     mix,
@@ -131,7 +133,7 @@ def _prefixes(text: str, params: JoinParams, order) -> Callable:
             if not len(grams):
                 continue
             # Rows come by row and hash; the level goes in between.
-            by = np.lexsort((grams, ranks.level[ranks.bucket(grams)], of))
+            by = by_row(np.argsort(ranks.level[ranks.bucket(grams)], kind="stable"), of)
             place = np.arange(len(grams)) - (np.cumsum(sizes) - sizes)[of]
             n = sizes[of]
             front = place < n - (params.percent * n + 99) // 100 + 1
@@ -143,7 +145,8 @@ def _prefixes(text: str, params: JoinParams, order) -> Callable:
 
 def _shared(order) -> Callable:
     """Of rows sorted by slot and key: one for each slot and key, where a slot
-    has several keys. Holds one batch and the last row before it."""
+    has several keys or is only part of a gram's. Holds one batch and the last
+    row before it."""
 
     def shared(batches):
         ranks = order.value
@@ -159,13 +162,13 @@ def _shared(order) -> Callable:
             new = np.r_[True, (slot[1:] != slot[:-1]) | (key[1:] != key[:-1])]
             slot, key, place = slot[new], key[new], place[new]
             same = slot[1:] == slot[:-1]
-            out = np.r_[gone, same] | np.r_[same, False]
+            grams = ranks.gram(slot.view(np.uint64), key.view(np.uint64))
+            out = np.r_[gone, same] | np.r_[same, False] | (ranks.salts[ranks.bucket(grams)] > 1)
             last = (slot[-1:], key[-1:], place[-1:], bool(out[-1]))
             if gone:
                 out[0] = False
-            slots, keys = slot[out].view(np.uint64), key[out].view(np.uint64)
             yield _longs(
-                gram=ranks.gram(slots, keys), key=keys, place=place[out] >> 32, n=place[out] & 0xFFFFFFFF
+                gram=grams[out], key=key[out], place=place[out] >> 32, n=place[out] & 0xFFFFFFFF
             )
 
     return shared
@@ -182,9 +185,9 @@ def _segments(text: str, params: JoinParams, order, wanted) -> Callable:
             grams, of = grams[mine[of]], of[mine[of]]
             if not len(grams):
                 continue
-            part = ranks.fragment[ranks.bucket(grams)].astype(np.int64)
-            by = np.lexsort((grams, part, of))
-            grams, of, part = grams[by], of[by], part[by]
+            part = ranks.fragment[ranks.bucket(grams)]
+            by = by_row(np.argsort(part, kind="stable"), of)
+            grams, of, part = grams[by], of[by], part[by].astype(np.int64)
             cut = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (part[1:] != part[:-1])])
             lists = pa.ListArray.from_arrays(
                 pa.array(np.r_[cut, len(grams)], pa.int32()), pa.array(grams.view(np.int64))
@@ -247,26 +250,26 @@ def _reaches(percent: int, a: str, b: str) -> Column:
     )
 
 
-def _pair(a: str, b: str) -> list[Column]:
-    """Both keys and sizes, the smaller key first."""
-    swap = F.col(f"{a}.key") > F.col(f"{b}.key")
-
-    def pick(x: str, y: str, column: str, name: str) -> Column:
-        return F.when(swap, F.col(f"{y}.{column}")).otherwise(F.col(f"{x}.{column}")).alias(name)
+def _linked(pairs: DataFrame, docs: DataFrame, text: str, params: JoinParams, order) -> DataFrame:
+    """Those of the pairs that reach the threshold: overlaps of segments, summed.
 
-    return [pick(a, b, "key", "a"), pick(a, b, "n", "na"), pick(b, a, "key", "b"), pick(b, a, "n", "nb")]
+    Segments of ``b`` go to those of ``a``, which may have very many partners;
+    its side comes from a table, so that adaptive execution can split them.
+    """
 
+    def segments(name: str, grams: str) -> DataFrame:
+        wanted = _filter_of(pairs.select(name).distinct())
+        found = docs.select(text).mapInArrow(
+            _segments(text, params, order, wanted), "key long, part long, grams array<long>"
+        )
+        return found.dropDuplicates(["key", "part"]).toDF(name, "part", grams)
 
-def _linked(pairs: DataFrame, docs: DataFrame, text: str, params: JoinParams, order) -> DataFrame:
-    """Those of the pairs that reach the threshold: overlaps of segments, summed."""
-    keys = pairs.select("a").union(pairs.select("b")).distinct()
-    segments = docs.select(text).mapInArrow(
-        _segments(text, params, order, _filter_of(keys)), "key long, part long, grams array<long>"
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(params.fragments - 1).cast("long")))
+    overlaps = (
+        pairs.withColumn("part", part)
+        .join(segments("b", "right"), ["b", "part"])
+        .join(staged(segments("a", "left"), "segments"), ["a", "part"])
     )
-    segments = staged(segments.dropDuplicates(["key", "part"]), "segments")
-    left = segments.withColumnsRenamed({"key": "a", "grams": "left"})
-    right = segments.withColumnsRenamed({"key": "b", "grams": "right"})
-    overlaps = pairs.join(left, "a").join(right, ["b", "part"])
     return (
         overlaps.groupBy("a", "b", "na", "nb")
         .agg(F.sum(F.size(F.array_intersect("left", "right"))).alias("overlap"))
@@ -275,6 +278,16 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, params: JoinParams, or
     )
 
 
+def _enough_shared(percent: int) -> Column:
+    """Whether a pair that shares ``shared`` grams of both fronts can link.
+
+    Of the front that ends first in the order all common grams are counted;
+    behind it there are at most the set's other grams."""
+    na, nb = F.col("na"), F.col("nb")
+    need = F.ceil((na + nb) * percent / (100 + percent))
+    return F.col("shared") >= need - F.ceil(F.greatest(na, nb) * percent / 100) + 1
+
+
 def ngram_jaccard_components(
     docs: DataFrame, doc_id: str, text: str, params: JoinParams = JoinParams()
 ) -> DataFrame:
@@ -319,15 +332,21 @@ def ngram_jaccard_components(
     hubs = staged(
         fronts.groupBy("gram").agg(F.min(front).alias("hub")).select("gram", "hub.*"), "hubs"
     )
-    near_hub = staged(
+    # Of its hubs a document is compared with the one that it shares most with.
+    shared = F.count(F.lit(1)).alias("shared")
+    with_hub = (
         fronts.alias("x")
         .join(hubs.alias("h"), F.col("x.gram") == F.col("h.gram"))
         .where((F.col("x.key") != F.col("h.key")) & _reaches(params.percent, "x", "h"))
-        .select(*_pair("h", "x"))
-        .distinct(),
-        "near_hub",
+        .groupBy(
+            F.col("h.key").alias("a"), F.col("h.n").alias("na"), F.col("x.key").alias("b"), F.col("x.n").alias("nb")
+        )
+        .agg(shared)
+        .groupBy("b", "nb")
+        .agg(F.max(F.struct("shared", "a", "na")).alias("best"))
     )
-    links = staged(_linked(near_hub, docs, text, params, order), "linked")
+    with_hub = staged(with_hub.select("best.a", "best.na", "b", "nb"), "with_hub")
+    links = staged(_linked(with_hub, docs, text, params, order), "linked")
 
     component = F.coalesce("component", "key")
     parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
@@ -337,22 +356,41 @@ def ngram_jaccard_components(
     centre = hubs.select("gram", "key").join(parts, "key", "left").select(
         "gram", component.alias("centre")
     )
-    outside = placed.join(staged(centre, "centres"), "gram").where("component != centre")
+    outside = staged(
+        placed.join(staged(centre, "centres"), "gram").where("component != centre"), "outside"
+    )
+    beside = placed.join(outside.select("gram").distinct(), "gram", "left_semi")
+    x_first = F.col("x.key") < F.col("y.key")
+
+    def one(column: str, first: Column) -> Column:
+        return F.when(first, F.col(f"x.{column}")).otherwise(F.col(f"y.{column}"))
+
     rest = (
         outside.alias("x")
-        .join(placed.alias("y"), F.col("x.gram") == F.col("y.gram"))
+        .join(beside.alias("y"), F.col("x.gram") == F.col("y.gram"))
         .where(
             (F.col("x.component") != F.col("y.component"))
-            & ((F.col("y.component") == F.col("x.centre")) | (F.col("x.key") < F.col("y.key")))
+            & ((F.col("y.component") == F.col("x.centre")) | x_first)
             & _reaches(params.percent, "x", "y")
         )
-        .select(*_pair("x", "y"))
-        .distinct()
-        .join(near_hub.select("a", "b"), ["a", "b"], "left_anti")
+        .groupBy(
+            one("key", x_first).alias("a"),
+            one("n", x_first).alias("na"),
+            one("key", ~x_first).alias("b"),
+            one("n", ~x_first).alias("nb"),
+        )
+        .agg(shared)
+        .where(_enough_shared(params.percent))
+        .join(
+            with_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+            ["a", "b"],
+            "left_anti",
+        )
     )
-    rest = staged(rest, "rest")
-    more = _linked(rest, docs, text, params, order)
-    parts = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key")
+    rest = staged(rest.drop("shared"), "rest")
+    if not rest.isEmpty():
+        links = links.union(_linked(rest, docs, text, params, order))
+        parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
 
     rows = staged(sets.join(parts, "key", "left").withColumn("component", component), "members")
     least = staged(
