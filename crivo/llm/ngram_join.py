@@ -11,8 +11,8 @@ threshold share a gram among the first ``n - ceil(t * n) + 1`` grams of each.
 Only those are shuffled, and those that one text alone has go first.
 
 No group of documents with a gram is expanded into pairs. The group's hub is the
-document with the gram nearest to its front, and a document is compared with the
-hub it shares most with; what links is one component. After that only pairs of
+document with the fewest grams that it has alone, and a document is compared with
+the hub it shares most with; what links is one component. After that only pairs of
 different components are left, and of those only the ones in which a document is
 outside the hub's component. Both steps drop pairs whose shared grams cannot
 reach the threshold any more. So components are those of all pairs, and no cap
@@ -324,11 +324,14 @@ def ngram_jaccard_components(
     fronts.createOrReplaceTempView("fronts")
     fronts = staged(
         spark.sql(
-            "SELECT *, row_number() OVER (PARTITION BY key ORDER BY place) - 1 AS before FROM fronts"
+            "SELECT *, row_number() OVER (PARTITION BY key ORDER BY place) - 1 AS before,"
+            " count(*) OVER (PARTITION BY key) AS common FROM fronts"
         ),
         "fronts",
     )
-    front = F.struct("place", "key", "n", "before")
+    # The fewer grams of its front no other set has, the more a set can link with.
+    alone = (F.col("n") - F.ceil(F.col("n") * params.percent / 100) + 1 - F.col("common")).alias("alone")
+    front = F.struct(alone, "place", "key", "n", "before")
     hubs = staged(
         fronts.groupBy("gram").agg(F.min(front).alias("hub")).select("gram", "hub.*"), "hubs"
     )
