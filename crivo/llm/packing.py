@@ -9,6 +9,7 @@ left of that one is the next seed, so nothing but the last sequence of a shard
 is padded.
 """
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -19,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crivo.llm.common import distinct_in_rows, mix, text_chunks, words_of
-from crivo.llm.units import UnitEncoder
+from crivo.llm.common import by_row, distinct_in_rows, mix, text_chunks, words_of
 
 
 @dataclass(frozen=True)
@@ -39,57 +39,47 @@ class PackParams:
     b: float = 0.75
 
 
-# White space of Unicode, as the tokenizer's own pattern has it (fixed values).
-_WHITE = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
-# A blank with white space at both sides, or two blanks: there the ids of the
-# blanks depend on each other.
-_ODD = f"[{_WHITE}] [{_WHITE}]|  "
+def byte_bpe_encoder(data: bytes) -> Callable[[str], np.ndarray]:
+    """Ids of a text by a byte-level BPE tokenizer file, without special tokens.
 
+    The file's vocabulary is read into tiktoken, which gives the same ids
+    several times as fast, as long as ids follow the order of merges; else the
+    file's own library encodes.
+    """
+    if (ranks := _ranks(data)) is not None:
+        import tiktoken
+        from public_tokenizers import PATTERN
 
-def byte_bpe_encoder(data: bytes) -> UnitEncoder:
-    """Ids of a byte-level BPE tokenizer file, without special tokens."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        fast = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda text: fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_buffer(data)
+    tokenizer = Tokenizer.from_str(data.decode())
+    # Their strings in a text are ordinary text.
     tokenizer.encode_special_tokens = True
-    fast = _ranked(data)
-
-    def whole(text: str):
-        return tokenizer.encode(text, add_special_tokens=False).ids
-
-    return UnitEncoder(lambda units: [fast(u) for u in units] if fast else [whole(u) for u in units], whole, _ODD, False)
-
-
-def _ranked(data: bytes) -> Callable[[str], list[int]] | None:
-    """The same vocabulary in tiktoken, several times as fast for short units;
-    None if ids are not in the order of merges."""
-    import json
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    import tiktoken
-    from public_tokenizers import PATTERN
 
+def _ranks(data: bytes) -> dict[bytes, int] | None:
+    """Tokens as bytes with their ids, if those are ranks of merges."""
     model = json.loads(data)["model"]
+    # Byte-level files write bytes as printable characters: those that are none
+    # get the characters from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
+    rest = sorted(set(range(256)) - set(plain))
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    ranks = {}
-    for token, i in model["vocab"].items():
-        if all(c in byte_of for c in token):
-            ranks[bytes(byte_of[c] for c in token)] = i
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-    merged = [model["vocab"].get(a + b) for a, b in merges]
-    if None in merged or merged != sorted(merged):
+    merged = [model["vocab"].get(a + b, -1) for a, b in merges]
+    if not merged or min(merged) < 256 or merged != sorted(merged):
         return None
-    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    named = {t: i for t, i in model["vocab"].items() if all(c in byte_of for c in t)}
+    return {bytes(byte_of[c] for c in t): i for t, i in named.items() if i <= merged[-1]}
 
 
-_loaded: dict[int, UnitEncoder] = {}
+_loaded: dict[int, Callable[[str], np.ndarray]] = {}
 
 
-def _encoder(data: bytes) -> UnitEncoder:
+def _encoder(data: bytes) -> Callable[[str], np.ndarray]:
     key = hash(data)
     if key not in _loaded:
         _loaded.clear()
@@ -141,8 +131,11 @@ class Shard:
         self.left = np.diff(starts)  # tokens of each document not yet packed
         self.done = np.zeros(len(self.left), np.int64)
         _, terms, of = _terms(data, offsets, params.term_bits)
-        pairs, times = np.unique(of << params.term_bits | terms, return_counts=True)
-        of, terms = pairs >> params.term_bits, pairs & ((1 << params.term_bits) - 1)
+        order = by_row(np.argsort(terms.astype(np.int32)), of)
+        of, terms = of[order], terms[order]
+        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (terms[1:] != terms[:-1])][: len(of)])
+        times = np.diff(np.r_[new, len(of)])
+        of, terms = of[new], terms[new]
         frequency, documents, mean = statistics
         idf = np.log1p((documents - frequency[terms] + 0.5) / (frequency[terms] + 0.5))
         size = np.bincount(of, times, minlength=len(self.left))[of]
@@ -263,15 +256,14 @@ def _packed(params: PackParams, model, statistics, with_ids: bool) -> Callable:
     return packed
 
 
-def _with_end(encoder: UnitEncoder, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _with_end(encode, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows with the end id behind each, and the n+1 offsets."""
-    ids, offsets = encoder.rows(texts)
-    starts = offsets + np.arange(len(offsets))
-    out = np.full(int(starts[-1]), end, np.int32)
-    mine = np.ones(len(out), bool)
-    mine[starts[1:] - 1] = False
-    out[mine] = ids
-    return out, starts
+    last, parts = np.array([end], np.int32), []
+    for text in texts:
+        parts += [encode(text.as_py() or ""), last]
+    ids = np.concatenate(parts)
+    sizes = np.array([len(p) for p in parts[::2]]) + 1
+    return ids, np.r_[0, np.cumsum(sizes)]
 
 
 def pack_documents(
