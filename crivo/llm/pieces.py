@@ -14,6 +14,7 @@ then, and it is what merging the whole text would give.
 import heapq
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,12 @@ class PieceModel:
         self.ids = {p: i for i, p in enumerate(pieces) if p is not None and i not in special}
         self.scores = scores
         self.longest = max(map(len, self.ids))
+        self.characters = {p for p in self.ids if len(p) == 1}
+        pieces_found = ahocorasick.Automaton()
+        for p, i in self.ids.items():
+            pieces_found.add_word(p, (i, len(p)))
+        pieces_found.make_automaton()
+        self.found = pieces_found.iter
         self.lowest = min(scores) - 10.0
         self.pairs: dict[int, bool] = {}
         self.alone = {}
@@ -117,82 +124,100 @@ class Viterbi:
     def __init__(self, model: PieceModel):
         self.model = model
         self.tail = ""  # the last characters, as many as a piece can have
-        self.at = 0
-        # position -> (score, start of the last step, id of the last step);
-        # id -1 is a character without a piece.
-        self.best: dict[int, tuple] = {0: (0.0, 0, None)}
-        self.boundary = 0
+        self.at = self.boundary = self.largest = 0
+        # Of each position: score of the best way to it, and the start and id of
+        # its last step; id -1 is a character without a piece.
+        self.score, self.start, self.last = {0: 0.0}, {0: 0}, {0: None}
         self.held: dict[int, str] = {}  # characters without a piece
-        self.largest = 0
 
     def feed(self, text: str) -> list[int]:
         out: list[int] = []
-        for character in text:
-            self._step(character)
-            if len(self.best) > 4 * self.model.longest:
+        most = 4 * self.model.longest
+        for at in range(0, len(text), most):
+            self._search(text[at : at + most])
+            if self.at - self.boundary > most:
                 out += self._commit()
         return out
 
-    def _step(self, character: str) -> None:
-        model, best = self.model, self.best
-        self.tail = (self.tail + character)[-model.longest :]
-        self.at = at = self.at + 1
-        found = None
-        for size in range(1, min(len(self.tail), model.longest) + 1):
-            piece = model.ids.get(self.tail[-size:])
-            if piece is None:
+    def _search(self, text: str) -> None:
+        model, score, start, last = self.model, self.score, self.start, self.last
+        pairs, merges, scores = model.pairs, model.merges, model.scores
+        known = len(self.tail)
+        tail, before = self.tail + text, self.at - known
+        gaps = []
+        if not model.characters.issuperset(text):
+            gaps = [i for i in range(len(tail), known, -1) if tail[i - 1] not in model.characters]
+        # All pieces that end at a position, position by position.
+        for end, (piece, size) in model.found(tail):
+            end += 1
+            if end <= known:
                 continue
-            way = best.get(at - size)
-            if way is None:
+            while gaps and gaps[-1] < end:
+                self._gap(before + gaps.pop(), tail)
+            at = before + end
+            if (origin := at - size) not in start:
                 continue
-            if model.merges:
-                last = way[2]
-                if last is None or last == -1:
+            if merges:
+                if at in start:
+                    continue  # one way fits, and it is found
+                left = last[origin]
+                if left is None or left < 0:
                     fits = model.stands(piece)
-                else:
-                    fits = model.follows(last, piece)
+                elif (fits := pairs.get(left << 32 | piece)) is None:
+                    fits, pairs = model.follows(left, piece), model.pairs
                 if fits:
-                    found = (0.0, at - size, piece)
-                    break
+                    score[at], start[at], last[at] = 0.0, origin, piece
             else:
-                score = way[0] + model.scores[piece]
-                if found is None or score > found[0]:
-                    found = (score, at - size, piece)
-        if character not in model.ids:
-            way = best.get(at - 1)
-            if way is not None and (found is None or way[0] + model.lowest > found[0]):
-                found = (way[0] + model.lowest, at - 1, -1)
-                self.held[at] = character
-        if found is not None:
-            best[at] = found
-        self.largest = max(self.largest, at - self.boundary)
+                total = score[origin] + scores[piece]
+                if at not in start or total > score[at]:
+                    score[at], start[at], last[at] = total, origin, piece
+        while gaps:
+            self._gap(before + gaps.pop(), tail)
+        self.at = before + len(tail)
+        self.tail = tail[-model.longest :]
+        self.largest = max(self.largest, self.at - self.boundary)
+
+    def _gap(self, at: int, tail: str) -> None:
+        """A character that is no piece is a step of its own."""
+        self.score[at] = self.score[at - 1] + self.model.lowest
+        self.start[at], self.last[at] = at - 1, -1
+        self.held[at] = tail[at - self.at + len(self.tail) - 1]
 
     def _path(self, at: int) -> list[int]:
         path = []
         while at > self.boundary:
             path.append(at)
-            at = self.best[at][1]
+            at = self.start[at]
         return path
 
     def _commit(self) -> list[int]:
+        """Ids up to the last boundary that the ways to all positions share from
+        which a piece can still go on."""
         reach = range(max(self.boundary, self.at - self.model.longest + 1), self.at + 1)
-        ways = [set(self._path(p)) | {self.boundary} for p in reach if p in self.best]
-        shared = max(set.intersection(*ways)) if ways else self.boundary
-        return self._take(shared)
+        ways = [{*self._path(p), self.boundary} for p in reach if p in self.start]
+        return self._take(max(set.intersection(*ways))) if ways else []
 
     def _take(self, upto: int) -> list[int]:
         out: list[int] = []
         for at in reversed(self._path(upto)):
-            piece = self.best[at][2]
-            out += self.model.fallback(self.held.pop(at)) if piece == -1 else [piece]
+            piece = self.last[at]
+            out += self.model.fallback(self.held.pop(at)) if piece < 0 else [piece]
         if upto > self.boundary:
-            self.best = {p: w for p, w in self.best.items() if p >= upto}
-            self.held = {p: c for p, c in self.held.items() if p > upto}
+            for table in (self.score, self.start, self.last, self.held):
+                for p in [p for p in table if p < upto]:
+                    del table[p]
             self.boundary = upto
         return out
 
     def end(self) -> list[int]:
-        return self._take(self.at)
+        out: list[int] = []
+        at = self.at
+        while at > self.boundary:
+            piece = self.last[at]
+            out += reversed(self.model.fallback(self.held[at]) if piece < 0 else [piece])
+            at = self.start[at]
+        out.reverse()
+        return out
 
 
 def encode_part(model: PieceModel, part: str) -> list[int]:

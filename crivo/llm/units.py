@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Units remembered between batches. What is forgotten is encoded again.
-MOST_REMEMBERED = 250_000
+MOST_REMEMBERED = 400_000
 
 
 class UnitEncoder:
