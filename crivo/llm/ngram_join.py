@@ -59,7 +59,7 @@ class GramOrder:
 
     def __init__(self, counts: np.ndarray, params: JoinParams):
         self.shift = np.uint64(64 - params.order_buckets)
-        self.level = (2 * np.log2(np.maximum(counts, 1))).astype(np.int8)
+        self.level = (16 * np.log2(np.maximum(counts, 1))).astype(np.uint16)
         order = np.lexsort((np.arange(len(counts)), self.level))
         share = np.cumsum(counts[order]) / max(1, counts.sum())
         self.fragment = np.empty(len(counts), np.int8)
