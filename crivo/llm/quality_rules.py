@@ -172,21 +172,22 @@ class RuleParams:
     least_rows: int = 2
 
 
-def learn_rules(labelled: DataFrame, label: str, params: RuleParams = RuleParams()) -> DecisionList:
+def learn_rules(
+    labelled: DataFrame, key: str, label: str, params: RuleParams = RuleParams()
+) -> DecisionList:
     """Sequential covering over rows of statistics with a 0/1 label.
 
-    A third of the rows is kept for pruning. Each step of growing is one
+    A third of the rows, by hash of their key, is kept for pruning. Each step of growing is one
     grouped count over (feature, threshold), each pruning one row of counts:
     what reaches the driver depends on the parameters alone.
     """
     own = {f: f"_{f}" for f in FEATURES}
     rows = labelled.where(F.col(label).isin(0, 1)).select(
         (F.col(label) == 0).cast("long").alias("_bad"),
+        (F.pmod(F.xxhash64(key), F.lit(3)) == 0).alias("_prune"),
         *[c.alias(own[f]) for f, c in features().items()],
     )
-    rows = staged(
-        rows.withColumn("_prune", F.pmod(F.xxhash64(*own.values()), F.lit(3)) == 0), "rule_rows"
-    )
+    rows = staged(rows, "rule_rows")
     columns = {f: F.col(own[f]) for f in FEATURES}
     grid = _thresholds(rows, own, params.steps)
     grow, prune = rows.where("NOT _prune"), rows.where("_prune")
@@ -313,7 +314,7 @@ def quality_rules(
         .agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
     )
     learned = learn_rules(
-        statistics.where("NOT base_failed").join(staged(marks, "marks"), doc_id), "_label", params
+        statistics.where("NOT base_failed").join(staged(marks, "marks"), doc_id), doc_id, "_label", params
     )
     rule = learned.condition(features())
     judged = statistics.withColumn("rule", rule).withColumn(

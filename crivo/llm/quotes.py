@@ -101,7 +101,7 @@ def linked_messages(
     own = F.array_join(F.filter(lines, lambda x: quote_level(x) == 0), "\n")
     base = base.select(
         "*",
-        F.when(quotes, F.trim(F.regexp_replace(own, r"\n{3,}", "\n\n")))
+        F.when(quotes, F.regexp_replace(F.regexp_replace(own, r"\n{3,}", "\n\n"), r"^\s+|\s+$", ""))
         .otherwise(F.col("whole"))
         .alias("text"),
         quotes.alias("quoting"),
