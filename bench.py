@@ -44,6 +44,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     conf = {
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         "spark.sql.shuffle.partitions": cpus,
         # Tables this small would otherwise be gathered into fewer tasks than cores.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",

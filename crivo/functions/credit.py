@@ -16,10 +16,18 @@ RISK_PREVIOUS_CONTRACTS = -0.20
 COMMITMENT_LIMIT = 3.0
 CLASS_THRESHOLD = 0.5
 
+TINY_RATE = 1e-6
+
 
 def instalment(principal: Column, monthly_rate: Column, months: Column) -> Column:
-    """Level instalment of an annuity; a zero rate spreads the principal."""
+    """Level instalment of an annuity; a zero rate spreads the principal.
+
+    ``1 + rate`` loses the digits of a tiny rate, so those take the form that
+    never adds it to one.
+    """
     annuity = F.lit(1.0) - F.pow(F.lit(1.0) + monthly_rate, -months)
+    tiny = F.abs(monthly_rate) < F.lit(TINY_RATE)
+    annuity = F.when(tiny, -F.expm1(-months * F.log1p(monthly_rate))).otherwise(annuity)
     return F.when(monthly_rate == F.lit(0.0), principal / months).otherwise(
         F.try_divide(principal * monthly_rate, annuity)
     )

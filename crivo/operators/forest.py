@@ -16,8 +16,6 @@ from crivo.functions.credit import known_class, threshold_class
 from crivo.operators.encode import SignatureColumn, align, quoted
 from crivo.session import enable_checkpoints
 
-# Scoring sends the whole forest to every executor, so its size is checked.
-MOST_NODES = 20_000_000
 # Deepest tree the library grows; stands for "no limit".
 DEEPEST = 30
 
@@ -90,7 +88,7 @@ def fit_forest(
     laid_out = (
         labelled.repartition(partitions, key).sortWithinPartitions(key).checkpoint()
     )
-    model = RandomForestClassifier(
+    return RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
@@ -101,12 +99,6 @@ def fit_forest(
         maxMemoryInMB=params.memory_mb,
         cacheNodeIds=params.cache_node_ids,
     ).fit(laid_out)
-    if model.totalNumNodes > MOST_NODES:
-        raise ValueError(
-            f"forest of {model.totalNumNodes} nodes is too large to send to every executor;"
-            " use a lower max_depth or fewer trees"
-        )
-    return model
 
 
 def score_forest(

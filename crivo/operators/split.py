@@ -117,10 +117,14 @@ def split_report(split: DataFrame, n_features: int, label: str = schema.LABEL) -
 
 
 def _hashed(df: DataFrame, key: str, label: Column, seed: int) -> DataFrame:
+    # Without a key a row has no place in the order, and would count as test
+    # without ever being it.
+    no_key = F.raise_error(F.lit(f"a row to split has no {key}"))
+    checked = F.when(F.col(key).isNull(), no_key.cast(df.schema[key].dataType)).otherwise(F.col(key))
     return df.select(
         F.col(key).alias("_key"),
         label.alias("_label"),
-        hash32(f"split|{seed}", F.col(key)).alias("_hash"),
+        hash32(f"split|{seed}", checked).alias("_hash"),
     )
 
 

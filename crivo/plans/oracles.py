@@ -290,7 +290,7 @@ def oracle_sql() -> dict[str, str]:
 )
 """
     references = (
-        "payload_uri, id_contrato AS id_contrato_trace, payload_bytes FROM spanned"
+        "payload_uri, id_contrato AS id_contrato_trace, payload_bytes FROM payloads"
     )
     return {
         "scan_features": _contracts(f"SELECT {_FEATURES} FROM contracts"),

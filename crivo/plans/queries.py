@@ -480,8 +480,7 @@ def span_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def span_refs(spark: SparkSession, folder: str) -> DataFrame:
-    spans = _spans(_without_near_certain(_with_payloads(spark, folder)))
-    return traces.payload_references(spans)
+    return traces.payload_references(_spans(_with_payloads(spark, folder)))
 
 
 def span_refs_json(spark: SparkSession, folder: str) -> DataFrame:

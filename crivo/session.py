@@ -27,7 +27,6 @@ def build_session(
         # generated method is larger runs faster operator by operator.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "16g")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)

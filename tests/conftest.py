@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", {"spark.sql.shuffle.partitions": "4"})
+    session = build_session("tests", "local[4]", {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     return session
 

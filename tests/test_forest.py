@@ -103,12 +103,6 @@ def test_no_class_to_learn_raises(features, signature):
         fit_forest(features.limit(0), signature, PARAMS)
 
 
-def test_a_forest_too_large_to_send_raises(features, signature, monkeypatch):
-    monkeypatch.setattr(forest, "MOST_NODES", 10)
-    with pytest.raises(ValueError, match="too large"):
-        fit_forest(features, signature, PARAMS)
-
-
 def test_node_cache_gives_the_same_forest(features, signature, model):
     cached = ForestParams(num_trees=4, max_depth=4, least_partitions=3, cache_node_ids=True)
     again = fit_forest(features, signature, cached)

@@ -136,3 +136,10 @@ def test_distributions_have_their_moments(spark):
 )
 def test_uri(spark, uri, encoded, wanted):
     assert values(spark, [uri], normalise_uri(F.col("x"), encoded), "string") == [wanted]
+
+
+def test_instalment_of_a_tiny_rate_nears_the_plain_share(spark):
+    rates = [(10.0**-e,) for e in range(8, 19)] + [(0.0,)]
+    value = credit.instalment(F.lit(12_000.0), F.col("rate"), F.lit(24))
+    found = spark.createDataFrame(rates, "rate double").select(value.alias("v")).collect()
+    assert all(abs(r.v - 500.0) < 1e-3 for r in found)

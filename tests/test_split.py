@@ -84,3 +84,10 @@ def test_marking_moves_no_row(spark, features):
     cuts = staged(split.split_cuts(features), "cuts")
     plan = split.mark_test_rows(features, cuts)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_row_without_a_key_raises(spark):
+    rows = [(i if i >= 30 else None, 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "id_contrato long, inadimplente int")
+    with pytest.raises(Exception, match="has no id_contrato"):
+        split.stratified_split(df).collect()
