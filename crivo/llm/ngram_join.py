@@ -49,7 +49,7 @@ class JoinParams:
 
     words: int = 5
     percent: int = 80
-    order_buckets: int = 18
+    order_buckets: int = 20
     fragments: int = 8
     group_rows: int = 1 << 16
 
