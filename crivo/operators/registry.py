@@ -5,6 +5,7 @@ grows per registry. The state of a model is what the latest row of each key
 says, so folding does not depend on the order rows are stored in.
 """
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -117,9 +118,6 @@ class Registry:
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS)
 
-    def signatures(self) -> DataFrame:
-        return self._read("signatures", SIGNATURES)
-
     def log_run(self, run_id: str, name: str, params: dict, metrics: dict) -> None:
         rows = [
             (run_id, name, kind, key, str(value))
@@ -134,14 +132,20 @@ class Registry:
         signature: list[SignatureColumn],
         input_example: DataFrame | None = None,
     ) -> int:
-        """Save the model under the next version number and return it."""
+        """Save the model under the next version number and return it.
+
+        Model, signature and example go to a folder of their own, and the event
+        that names it comes last: an attempt that fails before leaves no version
+        and nothing that a later one could read or overwrite.
+        """
         facts = self._facts()
         version = facts.n_versions + 1
-        path = self._path(version)
-        forest.write().overwrite().save(f"{path}/forest")
+        path = f"{self._folder}/models/{self.model}/v={version}-{uuid.uuid4().hex}"
+        forest.save(f"{path}/forest")
         if input_example is not None:
-            input_example.write.mode("overwrite").json(f"{path}/input_example")
-        self._append("signatures", signature_table(self._spark, self.model, version, signature))
+            input_example.write.json(f"{path}/input_example")
+        table = signature_table(self._spark, self.model, version, signature)
+        table.coalesce(1).write.parquet(f"{path}/signature")
         self._record(facts.last_seq, REGISTER, version=version, value=path)
         return version
 
@@ -168,15 +172,12 @@ class Registry:
         version = self.version_of(alias)
         if version is None:
             raise ValueError(f"{self.model} has no alias {alias}")
-        rows = (
-            self.signatures()
-            .where((F.col("model") == self.model) & (F.col("version") == version))
-            .collect()
-        )
+        path = self._path(version)
+        rows = self._spark.read.schema(SIGNATURES).parquet(f"{path}/signature").collect()
         return LoadedModel(
             self.model,
             version,
-            RandomForestClassificationModel.load(f"{self._path(version)}/forest"),
+            RandomForestClassificationModel.load(f"{path}/forest"),
             [
                 SignatureColumn(r.name, r.type, r.source, r.category)
                 for r in sorted(rows, key=lambda r: r.pos)
@@ -184,7 +185,9 @@ class Registry:
         )
 
     def _path(self, version: int) -> str:
-        return f"{self._folder}/models/{self.model}/v={version}"
+        """Where the event of a version says it lies."""
+        ours = (F.col("model") == self.model) & (F.col("version") == version)
+        return fold_versions(self.events()).where(ours).first().path
 
     def _facts(self, alias: str | None = None):
         """What the next change depends on, in one pass over the events."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crivo import schema
-from crivo.sources.tables import append_table
+from crivo.sources.tables import replace_partitions
 
 # Span names, the suffix of span tables, attribute keys.
 POINT_SPAN = "scoring_inadimplencia"
@@ -92,16 +92,18 @@ def span_table_name(namespace: str, prefix: str) -> str:
     return f"{namespace}.{prefix}{SPAN_TABLE_SUFFIX}"
 
 
-def store_spans(new: DataFrame, namespace: str, prefix: str) -> DataFrame:
-    """Append to the span table of a prefix, created on first use. Spans of one
-    name share a folder, so a filter on the name reads only that."""
-    return append_table(new, span_table_name(namespace, prefix), partition_by=["name"])
+def store_spans(new: DataFrame, namespace: str, prefix: str, run_id: str) -> DataFrame:
+    """Put the spans of a run into the span table of a prefix, created on first
+    use. Spans of one name share a folder, so a filter on the name reads only
+    that. A run that is repeated replaces its spans of that name."""
+    new = new.withColumn("run_id", F.lit(run_id))
+    return replace_partitions(new, span_table_name(namespace, prefix), ["name", "run_id"])
 
 
 def ensure_span_table(spark: SparkSession, namespace: str, prefix: str) -> DataFrame:
     table = span_table_name(namespace, prefix)
     if not spark.catalog.tableExists(table):
-        store_spans(spark.createDataFrame([], SPANS), namespace, prefix)
+        store_spans(spark.createDataFrame([], SPANS), namespace, prefix, "")
     return spark.table(table)
 
 

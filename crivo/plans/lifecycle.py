@@ -172,7 +172,10 @@ def point_scoring(
     prefix: str = TRACE_PREFIX,
     with_payload: bool = False,
 ) -> DataFrame:
-    """Score contracts, store a span for each and, if asked, the payload."""
+    """Score contracts, store a span for each and, if asked, the payload.
+
+    Repeated with the same ``run_id``, it replaces what the run stored before.
+    """
     started = datetime.datetime.now(datetime.timezone.utc)
     answered, version = answer(ws, contracts)
     model = ws.registry.model
@@ -181,9 +184,9 @@ def point_scoring(
         answered = staged(
             files.with_payloads(answered, model, version, run_id, ws.payload_folder), "answered"
         )
-        files.write_payloads(answered, ws.payload_folder)
+        files.write_payloads(answered, ws.payload_folder, run_id)
     new = traces.spans(answered, name, model, version, run_id, started)
-    traces.store_spans(new, ws.namespace, prefix)
+    traces.store_spans(new, ws.namespace, prefix, run_id)
     return answered.select(schema.KEY, *schema.RESPONSE.fieldNames())
 
 

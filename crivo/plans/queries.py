@@ -454,7 +454,7 @@ def trace_tables(spark: SparkSession, folder: str) -> DataFrame:
     spans = _spans(_with_payloads(spark, folder))
     traces.ensure_span_table(spark, namespace, prefix)
     traces.ensure_span_table(spark, namespace, prefix.replace("_", "x"))
-    traces.store_spans(spans, namespace, prefix)
+    traces.store_spans(spans, namespace, prefix, "run")
     names = [r.table_name for r in tables_with_prefix(spark, namespace, prefix).collect()]
     counted = [
         traces.count_spans(spark.table(f"{namespace}.{name}")).select(

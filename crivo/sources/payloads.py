@@ -1,6 +1,7 @@
 """Full request/response payloads as JSON files, found again by URI."""
 
 import re
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from crivo.functions.uri import normalise_uri
 BUCKETS = 64
 CORRUPT = "_corrupt_record"
 _BUCKET = "payload_bucket"
+_RUN = "payload_run"
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -74,19 +76,25 @@ def with_payloads(
     )
 
 
-def write_payloads(with_payload: DataFrame, base: str) -> None:
+def write_payloads(with_payload: DataFrame, base: str, run_id: str | None = None) -> None:
     """Write the payloads as JSON lines, one folder per bucket.
 
+    With a ``run_id`` they go below a folder of the run, in place of what an
+    earlier attempt left there; without one, ``base`` must not exist yet.
+
     The rebalance gathers a bucket's rows into few files, and splits a bucket
     that outgrows one task.
     """
+    folder, mode = base, "errorifexists"
+    if run_id is not None:
+        folder, mode = f"{base}/{_RUN}={quote(run_id, safe='')}", "overwrite"
     (
         with_payload.select("payload.*", "payload_uri", _BUCKET)
         .hint("rebalance", F.col(_BUCKET))
-        .write.mode("append")
+        .write.mode(mode)
         .options(**_KEEP_NULLS)
         .partitionBy(_BUCKET)
-        .json(base)
+        .json(folder)
     )
 
 
@@ -98,9 +106,8 @@ def read_payloads(spark: SparkSession, base: str) -> DataFrame:
         T.StructField(_BUCKET, T.IntegerType()),
         T.StructField(CORRUPT, T.StringType()),
     ]
-    return _read_json(spark, base, extra, multi_line=False).withColumn(
-        "file_path", F.col("_metadata.file_path")
-    )
+    found = _read_json(spark, base, extra, multi_line=False)
+    return found.withColumn("file_path", F.col("_metadata.file_path")).drop(_RUN)
 
 
 def read_payload_files(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:

@@ -55,6 +55,20 @@ def append_table(df: DataFrame, table: str, partition_by: list[str] | None = Non
     return df.sparkSession.table(table)
 
 
+def replace_partitions(df: DataFrame, table: str, partition_by: list[str]) -> DataFrame:
+    """Put rows into a table, in place of the partitions they belong to; other
+    partitions stay. Creates the table on first use."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        empty = df.limit(0).write.format("parquet").partitionBy(*partition_by)
+        empty.saveAsTable(table)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(_folder_of(spark, table))
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def tables_with_prefix(spark: SparkSession, namespace: str, prefix: str) -> DataFrame:
     """Tables whose name starts with the prefix, taken literally: in a LIKE
     pattern the underscores of the prefix would match any character."""

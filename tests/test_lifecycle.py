@@ -131,6 +131,21 @@ def test_stream_gives_the_answers_of_the_batch(ws, spark, features):
     assert run().count() == features.count() + 4
 
 
+def test_repeated_run_replaces_what_it_stored(ws):
+    def score(run_id):
+        lifecycle.point_scoring(
+            ws, lifecycle.first_of_features(ws), run_id=run_id, name=traces.PAYLOAD_SPAN,
+            prefix="again", with_payload=True,
+        )
+        return lifecycle.audit_payloads(ws, prefix="again")
+
+    assert score("again/1").count() == lifecycle.POINT_ROWS
+    assert score("again/1").count() == lifecycle.POINT_ROWS
+    audited = score("again/2")
+    assert audited.count() == 2 * lifecycle.POINT_ROWS
+    assert audited.where("id_contrato IS NULL").isEmpty()
+
+
 def test_generated_contracts(spark):
     contracts = generate.generate_contracts(spark, 4000)
     assert contracts.dtypes == [

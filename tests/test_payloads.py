@@ -183,7 +183,7 @@ def test_span_filter_reaches_the_folders(spark, answered):
     ensure_namespace(spark, "span_test", fresh_path(spark, "span_test"))
     for name in (traces.POINT_SPAN, traces.PAYLOAD_SPAN):
         new = traces.spans(answered, name, "m", 4, "run", AT, AT)
-        stored = traces.store_spans(new, "span_test", "t")
+        stored = traces.store_spans(new, "span_test", "t", "run")
     refs = traces.payload_references(stored)
     plan = refs._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull(name" in plan

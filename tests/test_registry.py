@@ -100,3 +100,25 @@ def test_runs(spark, folder):
         ("r1", "first", "auc", "0.75")
     ]
     assert registry.run_values(log.runs(), "param").first().value == "100"
+
+
+@pytest.mark.parametrize("step", ["forest", "signature", "event"])
+def test_failed_registration_leaves_no_version(spark, folder, fitted, monkeypatch, step):
+    forest, signature = fitted
+    log = registry.Registry(spark, folder, "torn")
+
+    def fail(*args, **kwargs):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as torn:
+        if step == "forest":
+            torn.setattr(type(forest), "save", fail)
+        elif step == "signature":
+            torn.setattr(registry, "signature_table", fail)
+        else:
+            torn.setattr(log, "_record", fail)
+        with pytest.raises(OSError):
+            log.register(forest, signature)
+    assert log.register(forest, signature) == 1
+    log.set_alias("champion", 1)
+    assert log.load("champion").signature == signature
