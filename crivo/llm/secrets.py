@@ -31,12 +31,17 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 _BASE64 = "[A-Za-z0-9+/_-]"
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-# A DER sequence of 32 bytes or more begins with 0x30 and a length; base64 may go on
-# over line ends, as it does between the lines of a key file.
-DER = re.compile(rf"M[CDEFGHIJ]{_BASE64}{{30,}}(?:\s{{1,2}}{_BASE64}{{16,}})*={{0,2}}")
+# A DER sequence of 32 bytes or more begins with 0x30 and a length.
+DER = re.compile(rf"M[CDEFGHIJ]{_BASE64}{{30,}}")
 DER_HEX = re.compile(r"30(?:[0-7][0-9a-fA-F]|8[1-4])(?:[0-9a-fA-F]{2}){30,}")
 SSH = re.compile(rf"(?:AAAA|b3BlbnNzaC1rZXktdjEA){_BASE64}{{20,}}(?:\s{{1,2}}{_BASE64}{{16,}})*={{0,2}}")
 _OPENSSH = b"openssh-key-v1\x00"
+# Base64 goes on over line ends, indented, quoted or escaped as they may be.
+_RUN = re.compile(f"{_BASE64}+")
+_GAP = re.compile(r"(?:\\+[nr]|\\?[\s\"'>])+")
+_GOES_ON = re.compile(r"[A-Za-z0-9+/_]|-(?!----)")
+# Characters in which the length of an SSH key has to show.
+_SSH_MOST = 1 << 16
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -115,6 +120,87 @@ def der_size(data: bytes) -> int:
     return total if useful else 0
 
 
+def _runs(text: str, start: int) -> Iterator[tuple[int, int]]:
+    """Runs of base64 from ``start``, with nothing but gaps between them."""
+    while run := _RUN.match(text, start):
+        yield run.span()
+        gap = _GAP.match(text, run.end())
+        if gap is None:
+            return
+        start = gap.end()
+
+
+def _body(text: str, start: int, size: int) -> tuple[bytes | None, int]:
+    """What ``size`` characters of base64 from ``start`` decode to, gaps left out,
+    and where they end with their padding. None if there are fewer, or if base64
+    goes on behind them without a gap."""
+    parts, left = [], size
+    for a, b in _runs(text, start) if size <= len(text) - start else ():
+        end = min(b, a + left)
+        parts.append(text[a:end])
+        left -= end - a
+        if left:
+            continue
+        if _GOES_ON.match(text, end):
+            break
+        for _ in range(-size % 4):
+            end += text[end : end + 1] == "="
+        return _decoded("".join(parts)), end
+    return None, 0
+
+
+def _characters(size: int) -> int:
+    return -(-size * 8 // 6)
+
+
+def _der_end(text: str, start: int) -> int:
+    """Where the DER sequence ends whose base64 begins at ``start``, or 0. Its own
+    length says how much of the text belongs to it."""
+    head = _decoded(text[start : start + 8])
+    length = _der_length(head, 1) if head else None
+    if length is None:
+        return 0
+    data, end = _body(text, start, _characters(sum(length)))
+    return end if data and der_size(data) == sum(length) == len(data) else 0
+
+
+def _ssh_end(text: str, start: int) -> int:
+    """The same of an SSH key, whose fields say how long they are: a private key
+    ends with its secret part, a public one with the last field that ends where
+    its base64 does."""
+    parts, size, ends = [], 0, []
+    for a, b in _runs(text, start):
+        parts.append(text[a:b])
+        size += b - a
+        if size > _SSH_MOST:
+            break
+    whole = "".join(parts)[:_SSH_MOST]
+    data = _decoded(whole[: len(whole) // 4 * 4]) or b""
+    private = data.startswith(_OPENSSH)
+    at = len(_OPENSSH) if private else 0
+    cipher, known, field = b"", 0, 0
+    while field < 16:
+        # Behind cipher, derivation and its options: how many public keys follow.
+        if private and field == 3:
+            known, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 > len(data) or at + 4 + size > len(data) + 2:
+            break
+        if not field and private:
+            cipher = data[at + 4 : at + 4 + size]
+        at, field = at + 4 + size, field + 1
+        if not private:
+            ends.append(at)
+        elif field == 4 + known:
+            ends.append(at + 16 * (b"gcm" in cipher or b"poly1305" in cipher))
+            break
+    for size in reversed(ends):
+        data, end = _body(text, start, _characters(size))
+        if data and is_ssh_key(data):
+            return end
+    return 0
+
+
 def is_ssh_key(data: bytes) -> bool:
     """Length-prefixed fields: the first a key type, the rest up to the end."""
     private = data.startswith(_OPENSSH)
@@ -134,26 +220,28 @@ def is_ssh_key(data: bytes) -> bool:
 
 
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of the kinds that have to decode. A candidate of several lines is
-    tried whole, then its first line alone."""
+    """Spans of the kinds that have to decode. A key ends where its own lengths
+    say so, on whatever line that is; an SSH key that breaks off before is tried
+    whole, then its first line alone."""
     found = []
     if "eyJ" in text:
         found += [("token", *m.span()) for m in TOKEN.finditer(text) if is_token(m.group())]
     if "M" in text:
+        end = 0
         for m in DER.finditer(text):
-            for part in _whole_and_first_line(m.group()):
-                data = _decoded(part)
-                size = der_size(data) if data else 0
-                # The base64 stands for the sequence and nothing but it.
-                if size and size == len(data):
-                    found.append(("key", m.start(), m.start() + len(part)))
-                    break
+            # A later line of a key may begin like a key.
+            if m.start() >= end and (stop := _der_end(text, m.start())):
+                end = stop
+                found.append(("key", m.start(), end))
     if "30" in text:
         for m in DER_HEX.finditer(text):
             if size := der_size(bytes.fromhex(m.group())):
                 found.append(("key", m.start(), m.start() + 2 * size))
     if "AAAA" in text or "b3BlbnNzaC1rZXktdjEA" in text:
         for m in SSH.finditer(text):
+            if stop := _ssh_end(text, m.start()):
+                found.append(("ssh", m.start(), stop))
+                continue
             for part in _whole_and_first_line(m.group()):
                 data = _decoded(part)
                 if data and is_ssh_key(data):

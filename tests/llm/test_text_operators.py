@@ -358,6 +358,41 @@ def test_structures():
     assert secrets.redacted("ab cd ef", [("hex", 3, 5), ("assign", 0, 4)]) == "[SECRET] ef"
 
 
+def test_keys_of_several_lines():
+    import base64
+    import struct
+
+    def der(tag, data):
+        size = len(data)
+        return bytes([tag, size] if size < 128 else [tag, 0x82, size >> 8, size & 255]) + data
+
+    def lines_of(data, end):
+        text = base64.b64encode(data).decode()
+        return end.join(text[i : i + 64] for i in range(0, len(text), 64))
+
+    chance = random.Random(3)
+    for size in range(200, 300):
+        key = der(0x30, der(0x02, b"\x01") + der(0x04, chance.randbytes(size)))
+        for end in ("\n", "\r\n", "\n    ", "\n> ", "\\n", '\\n"\n  "', "\\\\n"):
+            body = lines_of(key, end)
+            for behind in (f"{end}-----END PRIVATE KEY-----", "\nand then some words", ""):
+                text = f"-----BEGIN PRIVATE KEY-----{end}{body}{behind}"
+                start = text.index(body)
+                assert secrets.confirmed_spans(text) == [("key", start, start + len(body))], (size, end, behind)
+    assert not secrets.confirmed_spans(lines_of(key, "\n")[:-9]) and secrets.confirmed_spans(lines_of(key, "")[:-4]) == []
+
+    def fields(*found):
+        return b"".join(struct.pack(">I", len(f)) + f for f in found)
+
+    public = fields(b"ssh-rsa", b"\1\0\1", bytes(range(256)) + b"1")
+    private = b"openssh-key-v1\0" + fields(b"none", b"none", b"") + b"\0\0\0\1" + fields(public, chance.randbytes(500))
+    for data in (public, private):
+        for end in ("\n", "\n  ", "\\n"):
+            body = lines_of(data, end)
+            text = f"x {body}{end}-----END"
+            assert secrets.confirmed_spans(text) == [("ssh", 2, 2 + len(body))]
+
+
 def test_secret_scan(spark, small):
     assign = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
     docs = table(spark, small, "documents").select("doc_id", "text").union(odd(spark).select("doc_id", "text"))
