@@ -3,7 +3,9 @@
 Lines that begin with ``>`` are quoted, one level for each ``>``. Consecutive
 lines of one level are a passage; it is normalised, hashed and looked up among
 the passages that earlier messages of the conversation wrote themselves. A
-message replies to the message that its outermost linked passage came from.
+passage that none of them wrote as a whole is looked up by its lines and
+sentences, among theirs. A message replies to the message that its outermost
+linked passage came from.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -66,6 +68,14 @@ def passages(text: Column) -> Column:
     return F.aggregate(lines, empty, add)
 
 
+def parts(passage: Column) -> Column:
+    """The distinct lines and sentences of a passage, normalised."""
+    flat = F.regexp_replace(passage, r"\s+", " ")
+    sentences = F.split(flat, r"(?<=[.!?])\x20|(?<=[\u3002\uff01\uff1f])")
+    every = F.transform(F.concat(F.split(passage, "\n"), sentences), normalised)
+    return F.array_distinct(F.filter(every, lambda x: x != ""))
+
+
 def linked_messages(
     messages: DataFrame,
     conversation: str = "conv_id",
@@ -82,9 +92,12 @@ def linked_messages(
     (``<|role|>`` and the text).
 
     A quoted passage links to the first earlier message of the conversation
-    that wrote it. Of the linked passages the one of the lowest level counts,
-    of equals the latest message. A quote without an original is taken out all
-    the same and counted in ``n_quotes`` only. Null roles are empty, null texts
+    that wrote it. When none did, its lines and sentences are looked up among
+    those that earlier messages wrote: the longest that is found counts, of
+    equals the latest message. Of the linked passages the one of the lowest level
+    counts, of equals the latest message. A quote of which no whole line or
+    sentence has an original is taken out all the same and counted in
+    ``n_quotes`` only. Null roles are empty, null texts
     too; a null conversation or turn links with nothing and rows of a null
     conversation are one conversation. Repeated rows stay and have positions of
     their own; where rows share a turn, what one wrote the turn wrote.
@@ -112,25 +125,54 @@ def linked_messages(
     quoted = (
         rows.where("quoting")
         .select("id", "conv_id", "turn", F.explode(passages(F.col("whole"))).alias("p"))
-        .select("id", "conv_id", "turn", "p.level", normalised(F.col("p.passage")).alias("said"))
+        .select("id", "conv_id", "turn", "p.level", "p.passage", normalised(F.col("p.passage")).alias("said"))
         .where("level > 0")
-        .distinct()
+        .groupBy("id", "conv_id", "turn", "level", "said")
+        .agg(F.min("passage").alias("passage"))
         .withColumn("hash", F.xxhash64("said"))
     )
     quoted = staged(quoted, "quoted")
     # Only conversations that quote need their passages hashed.
     asked = quoted.select("conv_id").distinct()
-    written = (
+    wrote = staged(
         rows.join(asked, "conv_id", "left_semi")
         .select("conv_id", "turn", F.explode(passages(F.col("whole"))).alias("p"))
         .where("p.level = 0")
-        .select("conv_id", "turn", F.xxhash64(normalised(F.col("p.passage"))).alias("hash"))
-        .groupBy("conv_id", "hash")
-        .agg(F.min("turn").alias("source"))
+        .select("conv_id", "turn", "p.passage"),
+        "wrote",
+    )
+
+    def first_of(said: DataFrame) -> DataFrame:
+        hashes = said.select("conv_id", "turn", F.xxhash64("said").alias("hash"))
+        return hashes.groupBy("conv_id", "hash").agg(F.min("turn").alias("source"))
+
+    written = first_of(wrote.withColumn("said", normalised(F.col("passage"))))
+    whole = staged(
+        quoted.join(staged(written, "written"), ["conv_id", "hash"], "left").withColumn(
+            "source", F.when((F.col("source") < F.col("turn")) & (F.col("said") != ""), F.col("source"))
+        ),
+        "by_passage",
+    )
+    pieces = staged(
+        whole.where("source IS NULL")
+        .select("id", "level", F.col("hash").alias("of"), "conv_id", "turn", F.explode(parts(F.col("passage"))).alias("said"))
+        .withColumn("hash", F.xxhash64("said")),
+        "pieces",
+    )
+    # The same for what was written: only where a passage found no original.
+    asked = pieces.select("conv_id").distinct()
+    written = first_of(
+        wrote.join(asked, "conv_id", "left_semi").withColumn("said", F.explode(parts(F.col("passage"))))
+    )
+    by_part = (
+        pieces.join(staged(written, "written_parts"), ["conv_id", "hash"])
+        .where(F.col("source") < F.col("turn"))
+        .groupBy("id", "level", F.col("of").alias("hash"))
+        .agg(F.max(F.struct(F.length("said").alias("length"), "source"))["source"].alias("part_source"))
     )
     linked = (
-        quoted.join(staged(written, "written"), ["conv_id", "hash"], "left")
-        .withColumn("source", F.when((F.col("source") < F.col("turn")) & (F.col("said") != ""), F.col("source")))
+        whole.join(staged(by_part, "by_part"), ["id", "level", "hash"], "left")
+        .withColumn("source", F.coalesce("source", "part_source"))
         .groupBy("id")
         .agg(
             F.count(F.lit(1)).alias("n_quotes"),

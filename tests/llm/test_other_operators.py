@@ -128,6 +128,26 @@ def test_quotes(spark):
     assert quotes.linked_messages(given.limit(0)).isEmpty()
 
 
+def test_partial_quotes(spark):
+    rows = [
+        (1, 0, "user", "First we sort the list. Then\nwe search it by halves.\nLast we print what is left."),
+        (1, 1, "user", "Print it."),
+        (1, 2, "assistant", "> we search it by halves.\nWhy halves?\n> Last we print what is left.\nYes."),
+        (1, 3, "assistant", "> First we sort the list. Then\n> we search it by halves.\nFine"),
+        (1, 4, "assistant", "> Then we search\n> it by halves.\n> Print it.\nAgreed"),
+        (1, 5, "assistant", "> Why halves? Yes.\nIndeed"),
+        (1, 6, "assistant", "> Print it\n\nWell"),
+        (1, 7, "assistant", "> halves\nNo whole line"),
+        (2, 0, "assistant", "> we search it by halves.\nElsewhere"),
+    ]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to) for r in quotes.linked_messages(given).collect()}
+    assert got == {
+        (1, 0): (0, 0, None), (1, 1): (0, 0, None), (1, 2): (2, 2, 0), (1, 3): (1, 1, 0), (1, 4): (1, 1, 0),
+        (1, 5): (1, 1, 2), (1, 6): (1, 1, 1), (1, 7): (1, 0, None), (2, 0): (1, 0, None),
+    }
+
+
 def test_messages_without_quotes_keep_their_order(spark, small):
     got = queries.op5_chat_quotes(spark, small)
     assert got.count() == table(spark, small, "conversations").count()
