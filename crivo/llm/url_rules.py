@@ -73,26 +73,56 @@ def page_key(url: Column) -> Column:
 _LINK = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = (
     r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)"
-    r"[^>]*\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*([^\"'\s>]+)"
+    r"[^>]*\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>]+)"
 )
 
 
+def without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments worked off."""
+    segments = F.split(path, "/")
+
+    def add(done: Column, x: Column) -> Column:
+        return (
+            F.when(x == ".", done)
+            .when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .otherwise(F.concat(done, F.array(x)))
+        )
+
+    inner = F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0)))
+    done = F.aggregate(inner, F.array().cast("array<string>"), add)
+    # A path that ends with dots names a folder.
+    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(done) > 0)
+    cleaned = F.concat(F.lit("/"), F.array_join(done, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), cleaned).otherwise(path)
+
+
 def page_links(url: Column, html: Column) -> Column:
     """Absolute targets of canonical links and refresh redirects of a page.
 
-    ``//host/x`` takes any scheme, ``/x`` the page's host; other relative
-    targets name the page's own folder and are left out.
+    ``//host/x`` takes any scheme, ``/x`` the page's host, ``?x`` the page's
+    path and ``#x`` the page itself; other relative targets go on from the
+    page's folder. Targets of other schemes (``mailto:x``) are left out, as are
+    relative ones of a page without ``://``.
     """
     found = F.concat(
         F.regexp_extract_all(html, F.lit(_LINK), 1), F.regexp_extract_all(html, F.lit(_REFRESH), 1)
     )
-    host = url_host(url)
+    site, own = F.concat(F.lit("http://"), url_host(url)), url_path(url)
+    in_folder = F.concat(F.lit("/"), F.regexp_extract(own, r"(?s)^/(.*/)", 1))
+    based = F.instr(url, "://") > 0
 
     def absolute(target: Column) -> Column:
+        path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+        rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
         return (
-            F.when(target.startswith("//"), F.concat(F.lit("http:"), target))
-            .when(target.startswith("/"), F.concat(F.lit("http://"), host, target))
-            .when(F.instr(target, "://") > 0, target)
+            F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(~based, F.lit(None))
+            .when(target.startswith("/"), F.concat(site, without_dots(path), rest))
+            .when(target.startswith("#"), url)
+            .when(target.startswith("?"), F.concat(site, own, target))
+            .otherwise(F.concat(site, without_dots(F.concat(in_folder, path)), rest))
         )
 
     # Most pages hold neither: a plain search is far cheaper than the patterns.

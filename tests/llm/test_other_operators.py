@@ -47,6 +47,33 @@ def test_url_rules_and_aliases(spark):
     assert url_rules.judged_pages(pages, []).where("verdict = 'block'").isEmpty()
 
 
+def test_relative_links_and_quoted_refresh(spark):
+    link = "<link rel=canonical href='{}'>".format
+    jump = "<meta http-equiv=refresh content={}>".format
+    wanted = {
+        ("http://a.b/x/y?q=1", link("index.html")): "a.b/x/index.html",
+        ("http://a.b/x/y/", link("../de/x?id=2#top")): "a.b/x/de/x?id=2",
+        ("http://a.b/x/y", link("../../../z")): "a.b/z",
+        ("http://a.b/x/y?q=1", link("?id=1")): "a.b/x/y?id=1",
+        ("http://a.b?q", link("c/./d/..")): "a.b/c/",
+        ("http://a.b/x/y", link("/u/../v")): "a.b/v",
+        ("http://a.b/x", link("c?to=http://d.e/f")): "a.b/c?to=http://d.e/f",
+        ("http://a.b/x", link("mailto:c@d.e")): None,
+        ("http://a.b/x/y", link("#top")): "a.b/x/y",
+        ("no scheme", link("c")): None,
+        ("http://x.y/", jump("\"0;url='http://a.b/c'\"")): "a.b/c",
+        ("http://x.y/", jump("'0; URL=\"/c d\"'")): "x.y/c",
+        ("http://x.y/e/f", jump("'0; url=g'")): "x.y/e/g",
+    }
+    given = spark.createDataFrame(list(wanted), "url string, html string")
+    found = F.transform(url_rules.page_links(F.col("url"), F.col("html")), url_rules.page_key)
+    got = {(r.url, r.html): r.found for r in given.select("*", found.alias("found")).collect()}
+    assert got == {k: [v] if v else [] for k, v in wanted.items()}
+    rows = [(1, "http://m.com/x/a", link("../de/a")), (2, "http://m.com/x/b", link("a"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.verdict for r in url_rules.judged_pages(pages, queries.RULES).collect()} == {"block"}
+
+
 def brute(ids, labels, matrix, cosine):
     near = {i: set() for i in ids}
     for i, a in enumerate(matrix):
