@@ -14,7 +14,7 @@ from crivo.functions.numeric import clip, round_half_even
 from crivo.functions.uri import normalise_uri
 from crivo.operators import audit, encode, generate, metrics, promotion, registry, scoring, traces
 from crivo.operators import split as splitting
-from crivo.operators.forest import ForestParams, class_weights, fit_forest, score_forest
+from crivo.operators.forest import CHALLENGER, CHAMPION, ForestParams, class_weights, fit_forest, score_forest
 from crivo.plans import lifecycle
 from crivo.session import fresh_path, shared_folder
 from crivo.sources import payloads as files
@@ -40,10 +40,6 @@ SCORED_AT = datetime.datetime(2024, 1, 1)
 URI_BASE = "/lake/payloads_inferencia"
 NAMESPACE = "crivo_queries"
 
-# Forests of the registered queries; the full sizes are in operators.forest.
-QUERY_CHAMPION = ForestParams(num_trees=20, max_depth=8)
-QUERY_CHALLENGER = ForestParams(num_trees=30, max_depth=5)
-
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
     """Key, label and fixed scores, written once: the split reads them often."""
@@ -351,18 +347,18 @@ def _split_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_champion(spark: SparkSession, folder: str) -> DataFrame:
-    return _forest_metrics(spark, folder, lifecycle.CHAMPION_RUN, QUERY_CHAMPION)
+    return _forest_metrics(spark, folder, lifecycle.CHAMPION_RUN, CHAMPION)
 
 
 def train_challenger(spark: SparkSession, folder: str) -> DataFrame:
-    return _forest_metrics(spark, folder, lifecycle.CHALLENGER_RUN, QUERY_CHALLENGER)
+    return _forest_metrics(spark, folder, lifecycle.CHALLENGER_RUN, CHALLENGER)
 
 
 def _forest_scored(spark: SparkSession, folder: str) -> DataFrame:
     """All contracts scored by a forest fitted on the training side."""
     split = _split_features(spark, folder)
     signature = encode.matrix_signature(split, encode.vocabulary(split))
-    forest = fit_forest(split.where(~F.col("is_test")), signature, QUERY_CHALLENGER)
+    forest = fit_forest(split.where(~F.col("is_test")), signature, CHALLENGER)
     return score_forest(split, forest, signature, keep=[schema.KEY, "is_test"])
 
 
@@ -380,13 +376,7 @@ def lifecycle_run(spark: SparkSession, folder: str) -> DataFrame:
     per predicted class and version."""
     namespace = f"crivo_{uuid.uuid4().hex[:12]}"
     ws = lifecycle.Workspace(spark, namespace, fresh_path(spark, "workspace"))
-    predicted = lifecycle.run_all(
-        ws,
-        feature_table(spark, folder),
-        champion=ForestParams(num_trees=10, max_depth=5),
-        challenger=ForestParams(num_trees=20, max_depth=5),
-        scored_at=SCORED_AT,
-    )
+    predicted = lifecycle.run_all(ws, feature_table(spark, folder), scored_at=SCORED_AT)
     return predicted.groupBy("versao_modelo", scoring.PREDICTION).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -107,3 +107,29 @@ def test_node_cache_gives_the_same_forest(features, signature, model):
     cached = ForestParams(num_trees=4, max_depth=4, least_partitions=3, cache_node_ids=True)
     again = fit_forest(features, signature, cached)
     assert again.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]
+
+
+def test_registered_queries_fit_the_whole_forests(monkeypatch, spark, small):
+    from crivo.operators import forest
+    from crivo.plans import lifecycle, queries
+
+    class Asked(Exception):
+        pass
+
+    def record(train, signature, params, *more, **options):
+        asked.append(params)
+        raise Asked
+
+    for module in (queries, lifecycle):
+        monkeypatch.setattr(module, "fit_forest", record)
+    for name, params in (
+        ("train_champion", forest.CHAMPION),
+        ("train_challenger", forest.CHALLENGER),
+        ("score_proba", forest.CHALLENGER),
+        ("score_batch", forest.CHALLENGER),
+        ("lifecycle_run", forest.CHAMPION),
+    ):
+        asked = []
+        with pytest.raises(Asked):
+            queries.queries()[name](spark, small)
+        assert asked == [params], name
