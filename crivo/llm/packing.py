@@ -3,10 +3,10 @@
 Documents are dealt to shards by a min-hash of their words, so that texts with
 common passages tend to meet; a shard with too many is split. Each shard has an
 inverted index with BM25 weights, the document frequencies of which come from
-the whole corpus. A seed document opens a sequence; the best unused neighbours
-that the index returns for its terms fill it, the last one being cut. What is
-left of that one is the next seed, so nothing but the last sequence of a shard
-is padded.
+the whole corpus. A seed document opens a sequence; the best unused neighbour
+that the index returns for all of its terms follows, and adds its own terms to
+the query, until the last one is cut. What is left of that one is the next seed,
+so nothing but the last sequence of a shard is padded.
 """
 
 import json
@@ -25,15 +25,15 @@ from crivo.llm.common import by_row, distinct_in_rows, mix, text_chunks, words_o
 
 @dataclass(frozen=True)
 class PackParams:
-    """``shard_bytes`` of text are indexed at a time; a single longer text is a
-    shard of its own. ``query_terms``: the heaviest terms of a seed, its query.
-    ``end_id`` follows every document."""
+    """``shard_bytes`` of text in about ``shard_rows`` rows are indexed at a time;
+    a single longer text is a shard of its own. Document frequencies are counted
+    in ``1 << term_bits`` buckets of terms. ``end_id`` follows every document."""
 
     length: int = 2048
     end_id: int = 1
     shard_bytes: int = 8 << 20
+    shard_rows: int = 8192
     shards: int = 4096
-    query_terms: int = 12
     term_bits: int = 18
     k1: float = 1.2
     b: float = 0.75
@@ -130,50 +130,53 @@ class Shard:
         self.params, self.ids, self.starts = params, ids, starts
         self.left = np.diff(starts)  # tokens of each document not yet packed
         self.done = np.zeros(len(self.left), np.int64)
-        _, terms, of = _terms(data, offsets, params.term_bits)
-        order = by_row(np.argsort(terms.astype(np.int32)), of)
-        of, terms = of[order], terms[order]
-        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (terms[1:] != terms[:-1])][: len(of)])
+        words, terms, of = _terms(data, offsets, params.term_bits)
+        order = by_row(np.argsort(words), of)
+        of, words, terms = of[order], words[order], terms[order]
+        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (words[1:] != words[:-1])][: len(of)])
         times = np.diff(np.r_[new, len(of)])
-        of, terms = of[new], terms[new]
+        of, words, terms = of[new], words[new], terms[new]
         frequency, documents, mean = statistics
         idf = np.log1p((documents - frequency[terms] + 0.5) / (frequency[terms] + 0.5))
         size = np.bincount(of, times, minlength=len(self.left))[of]
         norm = params.k1 * (1 - params.b + params.b * size / mean)
         weight = idf * times * (params.k1 + 1) / (times + norm)
-        # By document: its heaviest terms. By term: the documents that have it.
-        self.query_at = np.searchsorted(of, np.arange(len(self.left) + 1))
-        self.query_terms, self.query_weight = terms, weight
-        by = np.argsort(terms, kind="stable")
+        # Terms are whole hashes, numbered as they lie. By term: the documents that
+        # have it; a term of one document finds nobody and is left out.
+        by = np.argsort(words, kind="stable")
+        first = np.r_[True, words[by[1:]] != words[by[:-1]]][: len(by)]
+        several = ~(first & np.r_[first[1:], True][: len(by)])
+        by, first = by[several], first[several]
         self.posted, self.posted_weight = of[by], weight[by]
-        names, self.post_at = np.unique(terms[by], return_index=True)
-        self.post_at = np.r_[self.post_at, len(by)]
-        self.post_of = np.full(1 << params.term_bits, -1, np.int32)
-        self.post_of[names] = np.arange(len(names))
-
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a term of the query, best first."""
-        a, b = self.query_at[seed], self.query_at[seed + 1]
-        terms, weight = self.query_terms[a:b], self.query_weight[a:b]
-        if len(terms) > self.params.query_terms:
-            terms = terms[np.argpartition(-weight, self.params.query_terms)[: self.params.query_terms]]
-        at = self.post_of[terms]
-        found = [slice(self.post_at[i], self.post_at[i + 1]) for i in at]
-        if not found:
-            return np.empty(0, np.int64)
-        documents = np.concatenate([self.posted[f] for f in found])
-        weights = np.concatenate([self.posted_weight[f] for f in found])
-        score = np.bincount(documents, weights, minlength=len(self.left))
-        score[self.left == 0] = 0
-        score[seed] = 0
-        near = np.flatnonzero(score)
-        return near[np.argsort(-score[near], kind="stable")]
+        self.post_at = np.r_[np.flatnonzero(first), len(by)]
+        # By document: the terms that it shares.
+        name = np.full(len(of), -1, np.int64)
+        name[by] = np.cumsum(first) - 1
+        shared = name >= 0
+        self.query_at = np.searchsorted(of[shared], np.arange(len(self.left) + 1))
+        self.query_terms = name[shared]
+        self.unused = self.posted_for = len(self.left)
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Of every document as the answer to all terms that the seed shares with
+        another; of use for those unused."""
+        if 8 * self.unused < 7 * self.posted_for:
+            # Postings of used documents go each time that an eighth of them is used.
+            keep = self.left[self.posted] > 0
+            self.post_at = np.r_[0, np.cumsum(keep)][self.post_at]
+            self.posted, self.posted_weight = self.posted[keep], self.posted_weight[keep]
+            self.posted_for = self.unused
+        terms = self.query_terms[self.query_at[seed] : self.query_at[seed + 1]]
+        starts, sizes = self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms]
+        at = np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        return np.bincount(self.posted[at], self.posted_weight[at], minlength=len(self.left))
 
     def take(self, row: int, space: int) -> tuple[int, int, int]:
         size = int(min(space, self.left[row]))
         start = int(self.done[row])
         self.done[row] += size
         self.left[row] -= size
+        self.unused -= bool(size) and not self.left[row]
         return row, start, size
 
     def sequences(self) -> Iterator[list[tuple[int, int, int]]]:
@@ -188,25 +191,23 @@ class Shard:
                 seed = following
             else:
                 return
-            pieces = [self.take(seed, length)]
+            pieces, score = [self.take(seed, length)], np.zeros(len(self.left))
             space, cut = length - pieces[0][2], seed
             while space:
-                # The index answers for the seed; when it knows no one more, the
-                # next unused document takes the seed's place.
-                for row in self.neighbours(seed):
-                    pieces.append(self.take(int(row), space))
-                    space, cut = space - pieces[-1][2], int(row)
-                    if not space:
+                # The index answers for all that the sequence holds, or a word that
+                # many share would fill it with one of each group. When it knows no
+                # one more, the next unused document follows.
+                score += self.scores(cut)
+                score[self.left == 0] = 0
+                row = int(score.argmax())
+                if not score[row]:
+                    while following < len(self.left) and not self.left[following]:
+                        following += 1
+                    if following == len(self.left):
                         break
-                if not space:
-                    break
-                while following < len(self.left) and not self.left[following]:
-                    following += 1
-                if following == len(self.left):
-                    break
-                seed = following
-                pieces.append(self.take(seed, space))
-                space, cut = space - pieces[-1][2], seed
+                    row = following
+                pieces.append(self.take(row, space))
+                space, cut = space - pieces[-1][2], row
             yield pieces
 
 
@@ -214,17 +215,18 @@ def _packed(params: PackParams, model, statistics, with_ids: bool) -> Callable:
     def packed(batches):
         encoder, sequence = _encoder(model.value), TaskContext.get().partitionId() << 32
         held: list = []
-        size = 0
+        size = count = 0
 
         def parts():
-            nonlocal held, size
+            nonlocal held, size, count
             for batch in batches:
                 for rows, data, _ in text_chunks(iter([batch]), "_text"):
-                    if held and size + len(data) > params.shard_bytes:
+                    full = size + len(data) > params.shard_bytes or count + rows.num_rows > params.shard_rows
+                    if held and full:
                         yield held
-                        held, size = [], 0
+                        held, size, count = [], 0, 0
                     held.append(rows)
-                    size += len(data)
+                    size, count = size + len(data), count + rows.num_rows
             if held:
                 yield held
 

@@ -336,6 +336,22 @@ def test_packing_puts_similar_texts_together(spark):
     assert packed(spark, odd(spark).limit(0)) == []
 
 
+def test_packing_asks_for_all_shared_terms():
+    # Each text has 20 words of its own, heavier than what it shares with one other.
+    common = [" ".join(f"pair{p}word{i}" for i in range(8)) for p in range(30)]
+    texts = [f"{common[p]} " + " ".join(f"own{p}x{c}x{i}" for i in range(20)) for c in range(2) for p in range(30)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    params = packing.PackParams(length=40, term_bits=4)
+    frequency = np.full(1 << params.term_bits, 1)
+    starts = np.arange(len(texts) + 1) * 20
+    shard = packing.Shard(data, offsets, None, starts, (frequency, 60, 28.0), params)
+    for i in range(60):
+        assert np.flatnonzero(shard.scores(i)).tolist() == sorted((i, (i + 30) % 60))
+    pairs = [[row for row, _, _ in pieces] for pieces in shard.sequences()]
+    assert pairs == [[i, i + 30] for i in range(30)]
+
+
 def jwt():
     import base64
 
