@@ -179,6 +179,23 @@ def test_line_dedup_finds_edited_lines(spark):
     assert len(dropped) >= 30 and max(dropped) < 40
 
 
+def test_line_dedup_keeps_other_numbers(spark):
+    texts = [
+        "12 34 56", "98 70 11", "2019: 45%", "2020: 71%", "1", "2", "a = b * c", "a - b + c = d",
+        "10 20 30 40 50 60 70", "91 82 73 64 55 46 37", "The total of March was 12,345.67 euros in all",
+        "the total of march was 12,345.68 euros in all!", "555 123 4567", "555 123 4568", "777 987 6543",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stays = {r.text for r in lines.dedup_lines(docs).collect()}
+    # Only those that differ in a fifth of their characters or less go.
+    assert stays == set(texts) - {texts[11], texts[13]}
+    numbers = [(i, f"{i * 7919 % 10000:04} {i * 104729 % 10000:04} {i * 1299709 % 10000:04}") for i in range(200)]
+    docs = spark.createDataFrame(numbers, "doc_id long, text string")
+    got = [r.kept for r in lines.line_groups(docs, "doc_id", "text").orderBy("doc_id").collect()]
+    groups = components(range(200), lambda i, j: lines.similar(numbers[i][1], numbers[j][1], 80))
+    assert got == [g == i for i, g in enumerate(groups)]
+
+
 def test_line_dedup_on_odd_rows(spark):
     docs = odd(spark)
     out = lines.dedup_lines(docs)
