@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crivo.llm import (
+    alignment,
     ftrl,
     lines,
     ngram_join,
@@ -13,6 +14,7 @@ from crivo.llm import (
     pieces,
     quality_rules,
     quotes,
+    resampling,
     secrets,
     url_rules,
     vectors,
@@ -127,6 +129,18 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_scan(docs, "text", ["doc_id"]).drop("clean_text")
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = resampling.importance_resample(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "text"
+    )
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.aligned_tokens(docs, "doc_id", "text", vocabulary(BYTE_BPE), vocabulary(PIECE_MODEL))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_ngram_jaccard_join,
@@ -139,6 +153,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_embedding_near_dedup,
         op9_quality_classifier,
         op10_secret_scans,
+        op12_importance_resampling,
+        op13_tokenizer_alignment,
     ]
     return {f.__name__: f for f in found}
 
