@@ -16,6 +16,7 @@ from crivo.llm import (
     quotes,
     resampling,
     secrets,
+    suffixes,
     url_rules,
     vectors,
 )
@@ -129,6 +130,10 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_scan(docs, "text", ["doc_id"]).drop("clean_text")
 
 
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     found = resampling.importance_resample(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "text"
@@ -153,6 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_embedding_near_dedup,
         op9_quality_classifier,
         op10_secret_scans,
+        op11_suffix_dedup,
         op12_importance_resampling,
         op13_tokenizer_alignment,
     ]
