@@ -105,10 +105,11 @@ class Tokenizers:
 
     def encode(self, chunks: list[str]) -> tuple[list, list]:
         first = [np.asarray(self._encode_a(c)) for c in chunks]
-        # The library puts a blank before a text. Chunks without one go behind
-        # a letter, the ids of which are dropped.
-        second = self.pieces.encode([c[1:] if c[0] == " " else "a" + c for c in chunks], num_threads=1)
-        return first, [i if c[0] == " " else i[self._lead :] for c, i in zip(chunks, second)]
+        # The library puts a blank before a text, if there is any. Other chunks go
+        # behind a letter, the ids of which are dropped.
+        blank = [len(c) > 1 and c[0] == " " for c in chunks]
+        second = self.pieces.encode([c[1:] if b else "a" + c for c, b in zip(chunks, blank)], num_threads=1)
+        return first, [i if b else i[self._lead :] for i, b in zip(second, blank)]
 
 
 def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
@@ -290,6 +291,8 @@ def _aligned(byte_bpe: bytes, piece_model: bytes, params: AlignParams) -> Callab
                 for row, size in zip(rows, sizes):
                     part = b"".join(map(known.written.__getitem__, numbers[end : end + size].tolist()))
                     end += size
+                    if not part:
+                        continue
                     # The last mark of a text is not written.
                     hashes.setdefault(row, sha256()).update(behind.get(row, b"") + part[:-1])
                     behind[row] = part[-1:]

@@ -17,6 +17,7 @@ from crivo.llm import (
     resampling,
     secrets,
     suffixes,
+    twins,
     url_rules,
     vectors,
 )
@@ -192,4 +193,8 @@ FROM p JOIN fits f USING (page_id, host, path)
 def oracle_sql() -> dict[str, str]:
     """Twins of the queries that SQL can express on whole tables. The others
     are tested against brute force, round trips or held-out labels."""
-    return {"op2_url_filters": OP2}
+    return {
+        "op2_url_filters": OP2,
+        "op11_suffix_dedup": twins.SUFFIX_DEDUP,
+        "op12_importance_resampling": twins.RESAMPLING,
+    }
