@@ -44,7 +44,7 @@ class AlignParams:
     of chunks looked up. At most ``hot_pairs`` pairs are sent to every task."""
 
     block: int = 1 << 17
-    remembered: int = 16_000_000
+    remembered: int = 4_000_000
     hot_pairs: int = 1 << 18
 
 
