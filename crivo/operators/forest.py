@@ -18,6 +18,10 @@ from crivo.session import enable_checkpoints
 
 # Deepest tree the library grows; stands for "no limit".
 DEEPEST = 30
+# Nodes of the largest forest that scoring sends to every task, some 100 bytes each.
+# The candidates below stay under it whatever the table: 100 trees of up to 40,000
+# nodes, 300 of up to 511.
+MOST_NODES = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -33,8 +37,13 @@ class ForestParams:
     # Memory for split statistics per pass; more of it means fewer passes.
     memory_mb: int = 512
     # Keep each row's node between levels, instead of sending the growing trees
-    # to every task. Pays off with deep trees on many rows.
-    cache_node_ids: bool = False
+    # to every task.
+    cache_node_ids: bool = True
+    # About so many labelled rows are fitted, chosen by a hash of their key: as many
+    # contracts as the lifecycle was laid out for. It bounds the forest as well,
+    # since a tree has at most two nodes for each row, and with it what scoring
+    # sends to every task. Runs log it. None fits all rows.
+    max_rows: int | None = 20_000
 
 
 # The two candidates every training run fits.
@@ -65,8 +74,8 @@ def fit_forest(
     label: str = schema.LABEL,
 ) -> RandomForestClassificationModel:
     """Fit on rows that hold the features (or the matrix), the key and the
-    label. Rows are laid out by key, so the same rows give the same forest
-    however they arrive."""
+    label. Rows are chosen and laid out by key, so the same rows give the same
+    forest however they arrive. Class weights are those of all rows."""
     weights = class_weights(train, label).collect()
     labelled = _assemble(align(train, signature, keep=[key, label]), signature).select(
         key,
@@ -80,6 +89,9 @@ def fit_forest(
         "features",
     )
     n_rows = sum(row.n_class for row in weights)
+    if params.max_rows is not None and n_rows > params.max_rows:
+        labelled = labelled.where(chosen_to_fit(F.col(key), params.max_rows / n_rows, params.seed))
+        n_rows = params.max_rows
     partitions = max(params.least_partitions, -(-n_rows // params.rows_per_partition))
     # The learner asks for the rows of its input four times, and each time the
     # joins and the shuffle above would run again. A checkpoint keeps partitions
@@ -101,6 +113,12 @@ def fit_forest(
     ).fit(laid_out)
 
 
+def chosen_to_fit(key: Column, share: float, seed: int) -> Column:
+    """Whether a row is among a share of all rows, by its key alone."""
+    places = 1 << 30
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(places)) < F.lit(round(share * places))
+
+
 def score_forest(
     df: DataFrame,
     model: RandomForestClassificationModel,
@@ -111,7 +129,10 @@ def score_forest(
 
     Adds ``prob`` (of class 1), ``classe_modelo`` (the model's own choice,
     class 0 at exactly one half) and ``classe_limiar`` (class 1 from one half).
+    The forest goes to every task, so one beyond ``MOST_NODES`` raises.
     """
+    if model.totalNumNodes > MOST_NODES:
+        raise ValueError(f"{model.totalNumNodes} nodes, more than {MOST_NODES}: fit fewer rows or trees")
     matrix = _assemble(align(df.select("*", *_copies(keep)), signature, keep=_held(keep)), signature)
     scored = model.transform(matrix).withColumn("prob", vector_to_array("probability")[1])
     return scored.select(

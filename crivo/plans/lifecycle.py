@@ -101,7 +101,11 @@ def train_and_register(
         ws.registry.log_run(
             run_id=f"{run_name}-v{version}",
             name=run_name,
-            params={"n_estimators": params.num_trees, "max_depth": params.max_depth},
+            params={
+                "n_estimators": params.num_trees,
+                "max_depth": params.max_depth,
+                "max_rows": params.max_rows,
+            },
             metrics={"auc": measured.auc, "accuracy": measured.accuracy, "f1": measured.f1},
         )
         versions[alias] = version

@@ -330,36 +330,54 @@ def promotion_decision(spark: SparkSession, folder: str) -> DataFrame:
 # Forests
 
 
-def _forest_metrics(
-    spark: SparkSession, folder: str, run_name: str, params: ForestParams
+def _split_features(spark: SparkSession, folder: str) -> DataFrame:
+    features = staged(feature_table(spark, folder), "features")
+    return splitting.mark_test_rows(features, staged(splitting.split_cuts(features), "cuts"))
+
+
+def _models(split: DataFrame) -> registry.Registry:
+    """The registry of models fitted on just these rows, in the shared folder."""
+    spark = split.sparkSession
+    rows = split.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*split.columns)).alias("h")).first()
+    return registry.Registry(spark, f"{shared_folder(spark)}/models_{rows.n}_{rows.h or 0:x}", MODEL)
+
+
+def _fit_and_register(
+    split: DataFrame, models: registry.Registry, run_name: str, alias: str, params: ForestParams
 ) -> DataFrame:
-    """Fit on the training side, measure on the test side, return the log."""
-    split = _split_features(spark, folder)
+    """Fit on the training side, measure on the test side, register under the
+    alias and return the metrics."""
     signature = encode.matrix_signature(split, encode.vocabulary(split))
     forest = fit_forest(split.where(~F.col("is_test")), signature, params)
     scored = score_forest(split.where("is_test"), forest, signature, keep=[schema.LABEL])
-    return metrics.evaluate(scored.withColumn("run_name", F.lit(run_name)), by="run_name")
-
-
-def _split_features(spark: SparkSession, folder: str) -> DataFrame:
-    features = staged(feature_table(spark, folder), "features")
-    return splitting.mark_test_rows(features, staged(splitting.split_cuts(features), "cuts"))
+    measured = staged(
+        metrics.evaluate(scored.withColumn("run_name", F.lit(run_name)), by="run_name"), "measured"
+    )
+    models.set_alias(alias, models.register(forest, signature))
+    return measured
 
 
 def train_champion(spark: SparkSession, folder: str) -> DataFrame:
-    return _forest_metrics(spark, folder, lifecycle.CHAMPION_RUN, CHAMPION)
+    split = _split_features(spark, folder)
+    return _fit_and_register(split, _models(split), lifecycle.CHAMPION_RUN, promotion.CHAMPION, CHAMPION)
 
 
 def train_challenger(spark: SparkSession, folder: str) -> DataFrame:
-    return _forest_metrics(spark, folder, lifecycle.CHALLENGER_RUN, CHALLENGER)
+    split = _split_features(spark, folder)
+    return _fit_and_register(
+        split, _models(split), lifecycle.CHALLENGER_RUN, promotion.CHALLENGER, CHALLENGER
+    )
 
 
 def _forest_scored(spark: SparkSession, folder: str) -> DataFrame:
-    """All contracts scored by a forest fitted on the training side."""
+    """All contracts scored by the challenger that is registered for them; it is
+    trained first if there is none."""
     split = _split_features(spark, folder)
-    signature = encode.matrix_signature(split, encode.vocabulary(split))
-    forest = fit_forest(split.where(~F.col("is_test")), signature, CHALLENGER)
-    return score_forest(split, forest, signature, keep=[schema.KEY, "is_test"])
+    models = _models(split)
+    if models.version_of(promotion.CHALLENGER) is None:
+        _fit_and_register(split, models, lifecycle.CHALLENGER_RUN, promotion.CHALLENGER, CHALLENGER)
+    model = models.load(promotion.CHALLENGER)
+    return score_forest(split, model.forest, model.signature, keep=[schema.KEY, "is_test"])
 
 
 def score_proba(spark: SparkSession, folder: str) -> DataFrame:

@@ -133,3 +133,58 @@ def test_registered_queries_fit_the_whole_forests(monkeypatch, spark, small):
         with pytest.raises(Asked):
             queries.queries()[name](spark, small)
         assert asked == [params], name
+
+
+def test_fit_is_bounded_by_a_hash_of_the_key(features, signature, monkeypatch):
+    seen = []
+    fit = forest.RandomForestClassifier.fit
+    monkeypatch.setattr(
+        forest.RandomForestClassifier,
+        "fit",
+        lambda self, df: (seen.append({r.id_contrato for r in df.collect()}), fit(self, df))[1],
+    )
+    bounded = ForestParams(2, 2, least_partitions=2, max_rows=400)
+    for rows in (features, features.orderBy(F.rand(3)).repartition(7)):
+        fit_forest(rows, signature, bounded)
+    assert seen[0] == seen[1] and 300 < len(seen[0]) < 500
+    fit_forest(features, signature, ForestParams(2, 2, least_partitions=2, max_rows=1500))
+    assert len(seen[2]) == 1500
+
+
+def test_bounded_fit_measures_like_the_full_one(spark):
+    """AUC within 0.03 on contracts that neither fit saw."""
+    from crivo.operators.metrics import auc
+    from crivo.sources.contracts import feature_table
+    from crivo.sources.tables import staged
+
+    rows = staged(feature_table(spark, "/root/testdata/sf0.01"), "features")
+    signature = encode.matrix_signature(rows, encode.vocabulary(rows))
+    held = F.pmod(F.col("id_contrato"), F.lit(5)) == 0
+    found = []
+    for bound in (None, 4000):
+        model = fit_forest(rows.where(~held), signature, ForestParams(20, 8, max_rows=bound))
+        found.append(auc(score_forest(rows.where(held), model, signature, keep=["inadimplente"])).first().auc)
+    assert abs(found[0] - found[1]) < 0.03 and min(found) > 0.8
+
+
+def test_forest_too_large_to_send_raises(features, signature, model, monkeypatch):
+    monkeypatch.setattr(forest, "MOST_NODES", 10)
+    with pytest.raises(ValueError, match="nodes"):
+        score_forest(features, model, signature, keep=[])
+
+
+def test_scores_come_from_the_registered_model(spark, small, monkeypatch, tmp_path):
+    from crivo.plans import queries
+
+    tiny = ForestParams(3, 3, least_partitions=2)
+    monkeypatch.setattr(queries, "CHALLENGER", tiny)
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: str(tmp_path))
+    first = queries.queries()["score_proba"](spark, small).orderBy("id_contrato").collect()
+
+    def refuse(*args, **options):
+        raise AssertionError("fitted again")
+
+    monkeypatch.setattr(queries, "fit_forest", refuse)
+    again = queries.queries()["score_proba"](spark, small).orderBy("id_contrato").collect()
+    batch = queries.queries()["score_batch"](spark, small)
+    assert first == again and batch.count() == len(first)
