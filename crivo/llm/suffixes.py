@@ -36,11 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crivo.operators.skew import salted_left_join
 from crivo.session import fresh_path
 from crivo.sources.tables import staged
 
 _FACTOR = np.uint32(0x01000193)
 _SPREAD = np.uint32(0x9E3779B1)
+_HOT_KEYS, _SALTS = 1000, 64
 
 
 @dataclass(frozen=True)
@@ -306,13 +308,13 @@ def remove_repeats(docs: DataFrame, id: str, text: str, params: SuffixParams = S
     texts = _by_number(chosen)
     long_enough = texts.where(F.octet_length("text") >= params.size).select("number", "text")
     parsed = long_enough.mapInArrow(_parsed(params), _PHRASE)
-    several = parsed.groupBy("inner").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("inner")
-    found = staged(parsed.join(several, "inner"), "phrases")
+    several = staged(parsed.groupBy("inner").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "several")
+    found = staged(_those_of(parsed, several, ["inner"]), "phrases")
 
     place = F.struct("number", "first", "last", "anchor")
     whole = ["inner", "whole1", "whole2"]
     kinds = staged(found.groupBy(*whole).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place")), "kinds")
-    settled = found.join(kinds.where("n > 1").select(*whole), whole, "left_semi")
+    settled = _those_of(found, kinds.where("n > 1").select(*whole, "n"), whole)
     marks = settled.select("number", F.col("first").alias("start"), (F.col("last") + params.size).alias("stop"))
 
     shared = kinds.groupBy("inner").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -341,6 +343,17 @@ def remove_repeats(docs: DataFrame, id: str, text: str, params: SuffixParams = S
     )
 
 
+def _those_of(rows: DataFrame, counts: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is counted as ``n`` of them. Keys with at least one in
+    ``_HOT_KEYS`` of these rows, of which there cannot be more than that, are
+    spread over tasks."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") * _HOT_KEYS >= total).select(on[-1]).distinct()
+    spread = F.struct("number", "first")
+    known = counts.select(*on, F.lit(True).alias("_known"))
+    return salted_left_join(rows, known, on, on[-1], spread, hot, _SALTS).where("_known").drop("_known")
+
+
 def _cut_out(texts: DataFrame, wanted: DataFrame, params: SuffixParams) -> DataFrame:
     place = F.struct("first", "last", "anchor", "inner", "n")
     of_text = wanted.groupBy("number").agg(F.collect_list(place).alias("wanted"))
