@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Larger means want more branches than an expression should have.
+MOST_POISSON_MEAN = 200.0
+
+
 def normal(u1: Column, u2: Column, mean: float, std: float) -> Column:
     """Box-Muller, cosine branch."""
     radius = F.sqrt(F.lit(-2.0) * F.log(u1))
@@ -25,27 +29,29 @@ def beta(us: list[Column], a: int) -> Column:
     return F.sort_array(F.array(*us))[a - 1]
 
 
-def poisson(u: Column, mean: float, largest: int = 40) -> Column:
-    """Inverse of the distribution function; the mass above ``largest`` must be
-    below the resolution of a 32-bit draw."""
-    steps = poisson_steps(mean, largest)
+def poisson(u: Column, mean: float) -> Column:
+    """Inverse of the distribution function, up to the first value whose mass
+    above a 32-bit draw cannot reach."""
+    steps = poisson_steps(mean)
     ladder = F.when(u <= F.lit(steps[0]), F.lit(0))
     for k, step in enumerate(steps[1:], start=1):
         ladder = ladder.when(u <= F.lit(step), F.lit(k))
     return ladder.otherwise(F.lit(len(steps))).cast("bigint")
 
 
-def poisson_steps(mean: float, largest: int = 40) -> list[float]:
+def poisson_steps(mean: float) -> list[float]:
     """Cumulative probabilities up to the first that a 32-bit draw cannot
-    exceed."""
-    steps, term, total = [], math.exp(-mean), 0.0
-    for k in range(largest + 1):
+    exceed. There are about ``mean + 7 * sqrt(mean)`` of them, each a branch of
+    the expression, so a mean beyond ``MOST_POISSON_MEAN`` raises."""
+    if not 0.0 <= mean <= MOST_POISSON_MEAN:
+        raise ValueError(f"a Poisson mean from 0 to {MOST_POISSON_MEAN}, not {mean}")
+    steps, term, total, k = [], math.exp(-mean), 0.0, 0
+    while not steps or 1.0 - total >= 2.0**-33:
         if k:
             term *= mean / k
         total += term
         steps.append(total)
-        if 1.0 - total < 2.0**-33:
-            break
+        k += 1
     return steps
 
 

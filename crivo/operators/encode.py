@@ -2,13 +2,15 @@
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crivo import schema
 
-# A column with more categories than this is no category.
+# A column with more categories than this gets no column per category: it is
+# encoded by a vocabulary kept as a table (``sparse_matrix``).
 MOST_CATEGORIES = 1_000
 
 # The column types a signature may hold.
@@ -77,6 +79,54 @@ def vocabulary_table(df: DataFrame, columns=schema.CATEGORICAL_FEATURES) -> Data
     )
 
 
+def sparse_matrix(
+    df: DataFrame,
+    vocabulary: DataFrame,
+    keep: list[str],
+    columns=schema.CATEGORICAL_FEATURES,
+    numeric=schema.NUMERIC_FEATURES,
+) -> DataFrame:
+    """Keep some columns and add ``features``, a sparse vector: the numeric
+    columns, then one place per category of each column, by its position in the
+    vocabulary table (``vocabulary_table``, written with the model).
+
+    For any number of categories: the driver holds one number per column. A NULL
+    category and one outside the vocabulary have no place set. NULL numbers
+    become NaN.
+    """
+    sizes = {r.column: r.n for r in vocabulary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    coded = df.select(
+        *[quoted(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+        *[quoted(c).cast("double").alias(f"_number_{i}") for i, c in enumerate(numeric)],
+        *[quoted(c).alias(f"_value_{i}") for i, c in enumerate(columns)],
+    )
+    for i, column in enumerate(columns):
+        # NULL meets nothing, so rows without a category needn't meet in one task.
+        apart = F.concat(F.lit("\0"), F.xxhash64(*coded.columns).cast("string"))
+        value = F.coalesce(f"_value_{i}", apart)
+        positions = vocabulary.where(F.col("column") == column).select(
+            F.col("value").alias("_met"), F.col("pos").cast("double").alias("_pos")
+        )
+        absent = F.lit(float(sizes.get(column, 0)))
+        coded = (
+            coded.join(positions, value == F.col("_met"), "left")
+            .withColumn(f"_code_{i}", F.coalesce("_pos", absent))
+            .drop("_met", "_pos", f"_value_{i}")
+        )
+    places = []
+    for i, column in enumerate(columns):
+        # The place behind the last category stands for none, and is dropped.
+        names = {"ml_attr": {"type": "nominal", "name": f"_code_{i}", "num_vals": sizes.get(column, 0) + 1}}
+        coded = coded.withMetadata(f"_code_{i}", names)
+        places.append(f"_places_{i}")
+    codes = [f"_code_{i}" for i in range(len(columns))]
+    if codes:
+        coded = OneHotEncoder(inputCols=codes, outputCols=places, dropLast=True).fit(coded).transform(coded)
+    numbers = [f"_number_{i}" for i in range(len(numeric))]
+    whole = VectorAssembler(inputCols=numbers + places, outputCol="features", handleInvalid="keep").transform(coded)
+    return whole.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], "features")
+
+
 def matrix_signature(
     df: DataFrame, categories: Vocabulary, numeric=schema.NUMERIC_FEATURES
 ) -> list[SignatureColumn]:

@@ -1,17 +1,18 @@
 """Exact ranking and classification metrics over any number of rows."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crivo import schema
 from crivo.functions.credit import threshold_class
+from crivo.sources.tables import staged
 
 # Counts fit a bigint, counts of pairs do not.
 _COUNT = "decimal(19,0)"
 _PAIRS = "decimal(38,0)"
-# Two digits of 10^6 each: a window over one digit holds at most 10^6 + 1 rows.
-_DIGIT = 1_000_000
-_DIGITS = 2
 
 
 def auc(
@@ -20,11 +21,12 @@ def auc(
     """Area under the ROC curve per group, ties counted half; NULL when a group
     has one class only. Scores must lie in [0, 1].
 
-    Two rows with different scores differ first in some digit of the score, so
-    the pairs are counted digit by digit: within equal leading digits, each
-    positive meets the negatives with a smaller next digit. Every window is
-    over one digit, and rows with equal scores are one row from the first
-    aggregation on, so no task holds a whole group.
+    Rows with equal scores become one row. These are sorted by ranges, however
+    close the scores lie, and written once. A positive then wins against the
+    negatives below it in its range, which a window over that range counts, and
+    against all negatives of the ranges before, which a window over one row per
+    range counts. A range is a bounded share of the scores, so no task holds a
+    whole group.
     """
     counts = _pair_counts(df, label, score, by)
     return counts.select(*by, "n_positive", "n_negative", "auc")
@@ -92,7 +94,6 @@ def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) ->
     checked = F.when(F.coalesce(in_range, F.lit(False)), value + F.lit(0.0)).otherwise(
         F.raise_error(F.lit("AUC needs a score in [0, 1] and a label on every row")).cast("double")
     )
-    fine = F.floor(F.col("_score") * F.lit(float(_DIGIT**_DIGITS))).cast("bigint")
     called = threshold_class(F.col("_score")).cast("bigint")
 
     counts = (
@@ -108,17 +109,26 @@ def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) ->
                 "_won": _times(F.col("_pos"), F.col("_neg")),
                 "_tp": F.col("_pos") * called,
                 "_fp": F.col("_neg") * called,
-                "_d0": fine,
             }
         )
     )
-    parents = [f"_d{i}" for i in range(_DIGITS)]
-    for depth, parent in enumerate(parents):
-        below = "_score" if depth == 0 else parents[depth - 1]
-        counts = _sum_counts(_add_won_pairs(counts, [*by, parent], below), [*by, parent])
-        if depth + 1 < _DIGITS:
-            counts = counts.withColumn(parents[depth + 1], F.expr(f"{parent} div {_DIGIT}"))
-    counts = _sum_counts(_add_won_pairs(counts, list(by), parents[-1]), list(by))
+    keys = [*by, "_score"]
+    ranges = staged(
+        counts.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "score_ranges"
+    )
+    totals = ranges.groupBy(*by, "_part").agg(F.sum("_neg").alias("_below_part"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_below_part", F.coalesce(F.sum("_below_part").over(before), F.lit(0)))
+    inside = Window.partitionBy(*by, "_part").orderBy("_score").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    below = F.col("_below_part") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
+    # As many rows as there are groups and ranges.
+    totals = totals.select(*[F.col(c).alias(f"_of{c}") for c in (*by, "_part")], "_below_part")
+    same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in (*by, "_part")]
+    placed = ranges.join(F.broadcast(totals), reduce(and_, same))
+    won = F.col("_won") + _times(F.col("_pos"), F.lit(2) * below)
+    counts = _sum_counts(placed.withColumn("_won", won), list(by))
 
     pairs = F.lit(2.0) * F.col("_pos").cast("double") * F.col("_neg").cast("double")
     return counts.select(
@@ -133,16 +143,6 @@ def _pair_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...]) ->
     )
 
 
-def _add_won_pairs(counts: DataFrame, parent: list[str], order: str) -> DataFrame:
-    earlier = Window.partitionBy(*parent).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    negatives_below = F.sum("_neg").over(earlier) - F.col("_neg")
-    return counts.withColumn("_below", negatives_below).withColumn(
-        "_won", F.col("_won") + _times(F.col("_pos"), F.lit(2) * F.col("_below"))
-    )
-
-
 def _sum_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("_pos", "_neg", "_tp", "_fp")]
     return counts.groupBy(*keys).agg(*sums, F.sum("_won").cast(_PAIRS).alias("_won"))

@@ -175,10 +175,12 @@ def point_scoring(
     name: str = traces.STORED_SPAN,
     prefix: str = TRACE_PREFIX,
     with_payload: bool = False,
+    buckets: int = files.BUCKETS,
 ) -> DataFrame:
     """Score contracts, store a span for each and, if asked, the payload.
 
     Repeated with the same ``run_id``, it replaces what the run stored before.
+    Many contracts want more ``buckets`` of payloads (``payloads.buckets_for``).
     """
     started = datetime.datetime.now(datetime.timezone.utc)
     answered, version = answer(ws, contracts)
@@ -186,7 +188,8 @@ def point_scoring(
     if with_payload:
         # Written once and read twice, so spans and payloads agree.
         answered = staged(
-            files.with_payloads(answered, model, version, run_id, ws.payload_folder), "answered"
+            files.with_payloads(answered, model, version, run_id, ws.payload_folder, buckets),
+            "answered",
         )
         files.write_payloads(answered, ws.payload_folder, run_id)
     new = traces.spans(answered, name, model, version, run_id, started)

@@ -155,10 +155,27 @@ _ANSWERED = f"""
              'modelo': 'modelo_inadimplencia', 'versao_modelo': '1'}})::VARCHAR)::BIGINT
            AS payload_bytes
   FROM answered
-), kept AS (SELECT * FROM payloads WHERE score_credito >= 350e0),
-   spanned AS (SELECT * FROM payloads WHERE prob < 0.95e0)
+)
 """
 
+# Path, type, runs that wrote the field and values in a run; the second run left
+# out the region and wrote the version as a number.
+_LONGS = ("prazo_meses", "idade_cliente", "safra", "num_contratos_anteriores")
+_PAYLOAD_FIELDS = [
+    ("", "object", 2, "docs"),
+    ("id_contrato", "long", 2, "docs"),
+    ("modelo", "string", 2, "docs"),
+    ("payload_uri", "string", 2, "docs"),
+    ("request", "object", 2, "docs"),
+    ("response", "object", 2, "docs"),
+    ("response.inadimplente", "long", 2, "docs"),
+    ("response.prob", "double", 2, "docs"),
+    ("versao_modelo", "string", 1, "docs"),
+    ("request.regiao", "string", 1, "regiao"),
+    ("request.tipo_equipamento", "string", 2, "tipo_equipamento"),
+    *((f"request.{c}", "long" if c in _LONGS else "double", 2, c) for c in _NUMERIC),
+]
+
 _REGISTRY = """
 WITH log AS (
   SELECT 'modelo_' || (user_id % 7) AS model, event_id AS seq,
@@ -482,27 +499,65 @@ FROM payloads GROUP BY payload_bucket"""
             + """
 SELECT payload_bucket AS bucket_of_file, payload_bucket AS bucket_of_uri, count(*) AS n
 FROM payloads GROUP BY payload_bucket"""
+        ),
+        "payload_folders": _contracts(
+            _ANSWERED
+            + """
+SELECT payload_bucket, sum(payload_bytes + strlen(payload_uri) + 18)::BIGINT AS n_bytes
+FROM payloads GROUP BY payload_bucket"""
+        ),
+        "payload_by_uri": _contracts(
+            _ANSWERED
+            + """
+SELECT payload_uri, id_contrato, classe AS inadimplente, prob, payload_bytes
+FROM payloads ORDER BY id_contrato LIMIT 5"""
+        ),
+        "payload_schema": _contracts(
+            _ANSWERED
+            + f"""
+, fields(path, type, runs, n) AS (
+  SELECT unnest([{', '.join(
+      f"{{'path': '{path}', 'type': '{kind}', 'runs': {runs}, 'n': {n}}}"
+      for path, kind, runs, n in _PAYLOAD_FIELDS
+  )}], recursive := true) FROM (SELECT count(*) AS docs, {', '.join(
+      f"count({c}) AS {c}" for c in _NUMERIC + ['regiao', 'tipo_equipamento']
+  )} FROM payloads)
+), docs AS (SELECT count(*) AS docs FROM payloads)
+SELECT path, CASE WHEN path = 'versao_modelo' OR type = 'null' THEN 'string' ELSE type END AS type,
+       path = 'versao_modelo' AS conflict,
+       CASE WHEN path = 'versao_modelo' THEN docs WHEN type = 'long' THEN runs * n ELSE 0 END AS n_long,
+       CASE WHEN type = 'double' THEN runs * n ELSE 0 END AS n_double,
+       CASE WHEN type = 'string' THEN runs * n ELSE 0 END AS n_string,
+       0::BIGINT AS n_boolean,
+       CASE WHEN type = 'object' THEN runs * n ELSE 0 END AS n_object,
+       0::BIGINT AS n_array,
+       runs * (docs - n) AS n_null,
+       0::BIGINT AS n_corrupt
+FROM fields, docs"""
         ),
         "payload_lookup": _contracts(
             _ANSWERED
             + """
 SELECT payload_uri, id_contrato, classe AS inadimplente, prob, comprometimento_renda,
        payload_bytes, true AS same_after_rebuild
-FROM kept SEMI JOIN spanned USING (payload_uri)"""
+FROM payloads"""
         ),
         "audit_join": _contracts(
             _ANSWERED
             + """
-SELECT k.id_contrato::VARCHAR AS id_contrato,
-       CASE WHEN k.payload_uri IS NOT NULL THEN '1' END AS versao_modelo,
-       s.payload_bytes, k.classe::VARCHAR AS inadimplente, k.prob, s.payload_uri
-FROM spanned s LEFT JOIN kept k USING (payload_uri)"""
+SELECT id_contrato::VARCHAR AS id_contrato, '1' AS versao_modelo, payload_bytes,
+       classe::VARCHAR AS inadimplente, prob, payload_uri
+FROM payloads"""
         ),
         "audit_orphans": _contracts(
             _ANSWERED
             + """
-SELECT 'span_without_payload' AS kind, payload_uri FROM spanned ANTI JOIN kept USING (payload_uri)
+, unstored AS (SELECT user_id, md5(user_id || '|1|r2') AS pid FROM events)
+SELECT 'span_without_payload' AS kind, '/lake/payloads_inferencia/payload_bucket='
+       || (('0x' || substr(pid, 1, 8))::BIGINT % 64) || '/' || user_id || '_' || pid || '.json' AS payload_uri
+FROM unstored
 UNION ALL
-SELECT 'payload_without_span', payload_uri FROM kept ANTI JOIN spanned USING (payload_uri)"""
+SELECT 'payload_without_span', payload_uri FROM payloads
+ANTI JOIN (SELECT l_orderkey AS id_contrato FROM lineitem) USING (id_contrato)"""
         ),
     }

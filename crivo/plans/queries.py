@@ -17,6 +17,7 @@ from crivo.operators import split as splitting
 from crivo.operators.forest import CHALLENGER, CHAMPION, ForestParams, class_weights, fit_forest, score_forest
 from crivo.plans import lifecycle
 from crivo.session import fresh_path, shared_folder
+from crivo.sources import inference
 from crivo.sources import payloads as files
 from crivo.sources.contracts import (
     contract_terms,
@@ -554,18 +555,21 @@ def payload_listing(spark: SparkSession, folder: str) -> DataFrame:
     return files.list_payload_files(spark, path)
 
 
-def _without_near_certain(with_payload: DataFrame) -> DataFrame:
-    """Contracts that left a span."""
-    return with_payload.where(F.col("prob") < 0.95)
-
-
 def _references_and_payloads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Spans of some contracts and payloads of others, so that each side has
-    rows the other lacks."""
+    """Spans and payloads of all contracts."""
     answered = staged(_with_payloads(spark, folder), "answered")
-    spans = _spans(_without_near_certain(answered))
-    references = traces.payload_references(spans, keep=("trace_id",))
-    return references, _written_payloads(answered.where(F.col("score_credito") >= 350.0))
+    references = traces.payload_references(_spans(answered), keep=("trace_id",))
+    return references, _written_payloads(answered)
+
+
+def _named_payloads(rows: DataFrame, key: str, run_id: str) -> DataFrame:
+    """References to the payload of a contract in a run, one for each row."""
+    uri = files.payload_uri(F.col(key), VERSION, run_id, URI_BASE)
+    return rows.select(
+        uri.alias("payload_uri"),
+        F.col(key).cast("bigint").alias("id_contrato_trace"),
+        F.lit(None).cast("bigint").alias("payload_bytes"),
+    )
 
 
 def payload_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -595,14 +599,59 @@ def audit_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def audit_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    references, payloads = _references_and_payloads(spark, folder)
-    spans = audit.references_without_payload(references, payloads)
-    lost = audit.payloads_without_reference(references, payloads)
-    return spans.select(F.lit("span_without_payload").alias("kind"), "payload_uri").unionAll(
-        lost.select(F.lit("payload_without_span").alias("kind"), "payload_uri")
+    """Both kinds of orphans in one audit. Each line item is a span that names
+    its contract's payload, so contracts without items have a payload that no
+    span names; each event is a span of a run that stored no payloads."""
+    items = read_parquet(spark, folder, "lineitem")
+    events = read_parquet(spark, folder, "events")
+    references = _named_payloads(items, "l_orderkey", RUN).unionByName(
+        _named_payloads(events, "user_id", "r2")
+    )
+    audited = audit.audit_all(references, _written_payloads(_with_payloads(spark, folder)))
+    return audited.where(F.col("kind") != audit.MATCHED).select("kind", "payload_uri")
+
+
+def payload_by_uri(spark: SparkSession, folder: str) -> DataFrame:
+    """The payloads of the first contracts, read back by their URIs from the
+    buckets those name."""
+    answered = staged(_with_payloads(spark, folder), "answered")
+    uris = scoring.first_contracts(answered, lifecycle.POINT_ROWS).select("payload_uri").collect()
+    found = files.payloads_at(_written_payloads(answered), [r.payload_uri for r in uris])
+    return files.rebuilt(found).select(
+        "payload_uri",
+        F.col("payload.id_contrato").alias(schema.KEY),
+        F.col("payload.response.inadimplente").alias("inadimplente"),
+        F.col("payload.response.prob").alias("prob"),
+        F.octet_length("json").cast("bigint").alias("payload_bytes"),
+    )
+
+
+def payload_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """The listing of written payloads, by the folder that the engine chose:
+    names of files are the cluster's, their sizes follow from the payloads."""
+    path = fresh_path(spark, "payloads")
+    files.write_payloads(_with_payloads(spark, folder), path)
+    bucket = F.regexp_extract("path", r"/payload_bucket=(\d+)/[^/]*\.json$", 1).cast("int")
+    return (
+        files.list_payload_files(spark, path)
+        .groupBy(bucket.alias("payload_bucket"))
+        .agg(F.sum("length").alias("n_bytes"))
     )
 
 
+def payload_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that the payloads of two runs turn out to have. The second run
+    wrote the version as a number and left out the region."""
+    first = staged(_with_payloads(spark, folder), "answered")
+    path = fresh_path(spark, "payloads")
+    files.write_payloads(first, path, RUN)
+    changed = F.col("payload").withField("versao_modelo", F.lit(VERSION)).dropFields("request.regiao")
+    files.write_payloads(first.withColumn("payload", changed), path, "r2")
+    written = spark.read.option("recursiveFileLookup", "true").text(path)
+    found = inference.json_fields(written, "value")
+    return found.withColumn("path", F.array_join("path", "."))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_features": scan_features,
@@ -653,6 +702,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_read": payload_read,
         "payload_provenance": payload_provenance,
         "payload_listing": payload_listing,
+        "payload_folders": payload_folders,
+        "payload_by_uri": payload_by_uri,
+        "payload_schema": payload_schema,
         "payload_lookup": payload_lookup,
         "audit_join": audit_join,
         "audit_orphans": audit_orphans,

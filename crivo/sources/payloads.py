@@ -11,6 +11,8 @@ from crivo import schema
 from crivo.functions.uri import normalise_uri
 
 BUCKETS = 64
+# Payloads that a lookup by URI may have to read: one bucket.
+ROWS_PER_BUCKET = 250_000
 CORRUPT = "_corrupt_record"
 _BUCKET = "payload_bucket"
 _RUN = "payload_run"
@@ -23,6 +25,32 @@ def payload_id(key: Column, version: int, run_id: str) -> Column:
     return F.md5(text.cast("binary"))
 
 
+def buckets_for(n_rows: int) -> int:
+    """Buckets that keep each of them small enough to read for one payload."""
+    return max(BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
+
+
+def payload_bucket(identity: Column, buckets: int) -> Column:
+    number = F.conv(F.substring(identity, 1, 8), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(buckets)).cast("int")
+
+
+def payload_uri(
+    key: Column, version: int, run_id: str, uri_base: str, buckets: int = BUCKETS
+) -> Column:
+    """The name of a payload. The bucket in it tells which folder to look in."""
+    identity = payload_id(key, version, run_id)
+    return F.concat(
+        F.lit(f"{uri_base.rstrip('/')}/{_BUCKET}="),
+        payload_bucket(identity, buckets).cast("string"),
+        F.lit("/"),
+        key.cast("string"),
+        F.lit("_"),
+        identity,
+        F.lit(".json"),
+    )
+
+
 def payload_json(payload: Column) -> Column:
     return F.to_json(payload, _KEEP_NULLS)
 
@@ -50,29 +78,11 @@ def with_payloads(
         F.lit(model).alias("modelo"),
         F.lit(str(version)).alias("versao_modelo"),
     )
-    identified = (
-        answered.withColumn("payload", payload)
-        .withColumn("_id", payload_id(key, version, run_id))
-        .withColumn(
-            _BUCKET,
-            F.pmod(F.conv(F.substring("_id", 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast(
-                "int"
-            ),
-        )
-    )
-    uri = F.concat(
-        F.lit(f"{uri_base.rstrip('/')}/{_BUCKET}="),
-        F.col(_BUCKET).cast("string"),
-        F.lit("/"),
-        key.cast("string"),
-        F.lit("_"),
-        F.col("_id"),
-        F.lit(".json"),
-    )
     return (
-        identified.withColumn("payload_uri", uri)
+        answered.withColumn("payload", payload)
+        .withColumn(_BUCKET, payload_bucket(payload_id(key, version, run_id), buckets))
+        .withColumn("payload_uri", payload_uri(key, version, run_id, uri_base, buckets))
         .withColumn("payload_bytes", F.octet_length(payload_json(F.col("payload"))).cast("bigint"))
-        .drop("_id")
     )
 
 

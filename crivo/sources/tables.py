@@ -1,5 +1,8 @@
 """Tables of a namespace: create, read, replace, append, list."""
 
+import datetime
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,23 +23,52 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Replace contents and schema of a table; return the new table.
 
-    The rows go to a new folder first and the name is moved to it afterwards.
-    So a table may be replaced by a query over itself, a failed job leaves the
-    old table alone, and readers of the old files finish undisturbed.
+    The rows become a version of their own, a table in the namespace beside it
+    named ``<namespace>_versions``; the name is a view of one version and is
+    moved to the new one in a single change of the catalog. So a table may be
+    replaced by a query over itself, a failed job leaves the old table alone, a
+    reader always finds the name, and readers of the old version finish
+    undisturbed. Old versions stay until ``drop_old_versions``.
     """
     spark = df.sparkSession
-    path = f"{_folder_of(spark, table)}/{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    versions, name = _versions(spark, table)
+    ensure_namespace(spark, versions, f"{_folder_of(spark, table)}_versions")
+    version = f"{versions}.{name}__{time.time_ns()}_{uuid.uuid4().hex[:8]}"
+    writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+    writer.saveAsTable(version)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # made by other means
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
     return spark.table(table)
 
 
+def drop_old_versions(spark: SparkSession, table: str, older_than: datetime.timedelta) -> list[str]:
+    """Drop versions of a table, with their files, that were replaced and are
+    older than the longest reader may take; return their names."""
+    versions, name = _versions(spark, table)
+    if not spark.catalog.databaseExists(versions):
+        return []
+    named = [
+        r.tableName
+        for r in spark.sql(f"SHOW TABLES IN {versions}").collect()
+        if re.fullmatch(rf"{re.escape(name)}__\d+_[0-9a-f]{{8}}", r.tableName)
+    ]
+    named.sort(key=lambda v: int(v.split("__")[-1].split("_")[0]))
+    limit = time.time_ns() - int(older_than.total_seconds() * 1e9)
+    # A version was in use until the next one came.
+    replaced = [v for v, after in zip(named, named[1:]) if int(after.split("__")[-1].split("_")[0]) < limit]
+    for version in replaced:
+        spark.sql(f"DROP TABLE {versions}.{version}")
+    return replaced
+
+
+def _versions(spark: SparkSession, table: str) -> tuple[str, str]:
+    namespace, _, name = table.rpartition(".")
+    return f"{namespace or spark.catalog.currentDatabase()}_versions", name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them from there, so that
     what follows may scan them often, and from any executor, without computing

@@ -108,3 +108,40 @@ def test_empty_input_keeps_the_schema(spark, features):
     signature = encode.matrix_signature(features, encode.vocabulary(features))
     empty = encode.align(features.limit(0), signature)
     assert empty.count() == 0 and len(empty.columns) == 21
+
+
+def test_sparse_matrix_of_very_many_categories(spark):
+    n = 100_000
+    df = spark.range(n + 4).select(
+        F.col("id"),
+        F.when(F.col("id") < n, F.concat(F.lit("c"), F.col("id"))).alias("big"),
+        F.when(F.col("id") % 2 == 0, "even").alias("small"),
+        F.when(F.col("id") != 3, F.col("id") * 1.5).alias("x"),
+    )
+    with pytest.raises(ValueError, match="categories"):
+        encode.vocabulary(df, ["big"])
+    table = encode.vocabulary_table(df, ["big", "small"])
+    late = df.withColumn("big", F.when(F.col("id") == n + 1, "unseen").otherwise(F.col("big")))
+    coded = encode.sparse_matrix(late, table, ["id"], ["big", "small"], ["x"])
+    place = {r.value: r.pos for r in table.where("column = 'big'").collect()}
+    rows = {r.id: r.features for r in coded.where(f"id < 50 OR id >= {n}").collect()}
+    for i, vector in rows.items():
+        wanted = {0: i * 1.5} if i else {}
+        if i < n:
+            wanted[1 + place[f"c{i}"]] = 1.0
+        if i % 2 == 0:
+            wanted[1 + n] = 1.0
+        assert vector.size == n + 2
+        found = dict(zip(vector.indices.tolist(), vector.values.tolist()))
+        if i == 3:
+            assert found.pop(0) != found.get(0) and wanted.pop(0)
+        assert found == wanted
+    assert coded.count() == n + 4
+
+
+def test_sparse_matrix_agrees_with_the_dense_one(spark, features):
+    table = encode.vocabulary_table(features)
+    signature = encode.matrix_signature(features, encode.vocabulary(features))
+    dense = encode.align(features, signature, keep=["id_contrato"]).orderBy("id_contrato").collect()
+    sparse = encode.sparse_matrix(features, table, ["id_contrato"]).orderBy("id_contrato").collect()
+    assert [[float(v) for v in row[1:]] for row in dense] == [row.features.toArray().tolist() for row in sparse]

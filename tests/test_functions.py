@@ -143,3 +143,19 @@ def test_instalment_of_a_tiny_rate_nears_the_plain_share(spark):
     value = credit.instalment(F.lit(12_000.0), F.col("rate"), F.lit(24))
     found = spark.createDataFrame(rates, "rate double").select(value.alias("v")).collect()
     assert all(abs(r.v - 500.0) < 1e-3 for r in found)
+
+
+@pytest.mark.parametrize("mean", [0.0, 1.5, 30.0, 60.0, 200.0])
+def test_poisson_steps_reach_the_end_of_the_distribution(mean):
+    from crivo.functions.distributions import poisson_steps
+
+    steps = poisson_steps(mean)
+    assert steps == sorted(steps) and 1.0 - steps[-1] < 2.0**-33
+    assert mean == 0.0 or len(steps) > mean
+
+
+def test_poisson_of_a_large_mean_raises():
+    from crivo.functions.distributions import poisson_steps
+
+    with pytest.raises(ValueError, match="Poisson"):
+        poisson_steps(1e6)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crivo.operators import metrics, promotion
 from crivo.sources.contracts import scored_contracts
+from crivo.sources.tables import staged
 
 
 def scored(spark, rows):
@@ -58,7 +59,27 @@ def test_auc_of_a_hot_score(spark):
 def test_no_window_takes_whole_groups_of_raw_scores(spark, small):
     plan = metrics.auc(scored_contracts(spark, small))._jdf.queryExecution().toString()
     alone = [p for p in plan.splitlines() if "Window" in p and "_score" in p]
-    assert alone and all("_d0" in p for p in alone)
+    assert alone and all("_part" in p for p in alone)
+
+
+def test_auc_of_scores_that_all_lie_close(spark, monkeypatch):
+    """Ranges split scores below 1e-12 as they split others."""
+    rows = [(i * 7 % 3 % 2, (i * 37 % 1000) * 1e-16) for i in range(3000)]
+    df = scored(spark, rows).withColumn("m", F.when(F.col("inadimplente") >= 0, "a"))
+    by_model = df.unionByName(df.withColumn("m", F.lit(None).cast("string")).withColumn("prob", F.col("prob") / 2))
+    got = {r.m: r.auc for r in metrics.auc(by_model, by=("m",)).collect()}
+    wanted = pytest.approx(pairwise(rows), abs=1e-15)
+    assert got == {"a": wanted, None: wanted}
+    # Small ranges are not merged here, to see how the scores are dealt.
+    written = []
+    monkeypatch.setattr(metrics, "staged", lambda df, name: written.append(staged(df, name)) or written[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        metrics.auc(scored(spark, rows)).collect()
+        sizes = [r["count"] for r in written[0].groupBy("_part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 1000 and len(sizes) > 1 and max(sizes) < 700
 
 
 @pytest.mark.parametrize(

@@ -1,3 +1,6 @@
+import datetime
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +43,41 @@ def test_replace_with_partitions(spark, namespace):
     assert replaced.where("p = 1").count() == 3
 
 
+def test_a_reader_never_misses_the_name(spark, namespace):
+    t = f"{namespace}.read"
+    tables.replace_table(spark.range(10), t)
+    seen, failed, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.add(spark.table(t).count())
+            except Exception as error:
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(11, 19):
+        tables.replace_table(spark.range(n).withColumn(f"c{n}", F.lit(n)), t)
+    done.set()
+    reader.join()
+    assert not failed and seen <= set(range(10, 19)) and spark.table(t).columns == ["id", "c18"]
+
+
+def test_old_versions_go_after_their_age(spark, namespace):
+    t = f"{namespace}.aged"
+    old = tables.replace_table(spark.range(1), t)
+    for n in (2, 3):
+        tables.replace_table(spark.range(n), t)
+    tables.replace_table(spark.range(9), f"{t}_other")
+    assert tables.drop_old_versions(spark, t, datetime.timedelta(hours=1)) == []
+    assert old.count() == 1
+    assert len(tables.drop_old_versions(spark, t, datetime.timedelta(0))) == 2
+    assert spark.table(t).count() == 3 and spark.table(f"{t}_other").count() == 9
+    assert tables.drop_old_versions(spark, t, datetime.timedelta(0)) == []
+    assert tables.drop_old_versions(spark, "nowhere.t", datetime.timedelta(0)) == []
+
+
 def test_append_creates_then_adds(spark, namespace):
     for _ in range(2):
         added = tables.append_table(spark.range(3), f"{namespace}.log")
