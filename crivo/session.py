@@ -44,7 +44,9 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    # A local-cluster has executors of its own, as a cluster does.
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="crivo-")

@@ -1,5 +1,7 @@
 """Tables of a namespace: create, read, replace, append, list."""
 
+import contextlib
+import contextvars
 import datetime
 import re
 import time
@@ -69,15 +71,42 @@ def _versions(spark: SparkSession, table: str) -> tuple[str, str]:
     return f"{namespace or spark.catalog.currentDatabase()}_versions", name
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scopes: contextvars.ContextVar[list[list[str]]] = contextvars.ContextVar("scopes", default=[])
+
+
+def staged(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """Write the rows to the shared folder and read them from there, so that
     what follows may scan them often, and from any executor, without computing
-    them again."""
+    them again. Within a ``scratch`` they go with it, unless they are a
+    ``result``: those belong to the scratch around it, or stay."""
     path = fresh_path(df.sparkSession, name)
+    scopes = _scopes.get()
+    if len(scopes) > result:
+        scopes[-1 - result].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A block whose staged tables are removed when it ends, well or not. What
+    leaves the block may only read results."""
+    paths: list[str] = []
+    token = _scopes.set([*_scopes.get(), paths])
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def append_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Append rows, creating the table on first use."""
     writer = df.write.mode("append").format("parquet")

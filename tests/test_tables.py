@@ -102,3 +102,46 @@ def test_shared_folder_follows_the_session(spark):
     if named:
         assert shared_folder(spark) == named
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def test_scratch_removes_what_is_staged_in_it(spark):
+    with tables.scratch(spark):
+        outer = tables.staged(spark.range(3), "outer")
+        with tables.scratch(spark):
+            inner = tables.staged(spark.range(4), "inner")
+            result = tables.staged(inner.where("id > 1"), "result", result=True)
+        with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+            inner.collect()
+        assert result.count() == 2 and outer.count() == 3
+        kept = tables.staged(result, "kept", result=True)
+    assert kept.count() == 2
+    for gone in (outer, result):
+        with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+            gone.collect()
+    alone = tables.staged(spark.range(1), "alone")
+    assert alone.count() == 1
+
+
+def test_scratch_ends_after_errors(spark):
+    with pytest.raises(KeyError):
+        with tables.scratch(spark):
+            lost = tables.staged(spark.range(3), "lost")
+            raise KeyError
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        lost.collect()
+    assert tables._scopes.get() == []
+
+
+def test_a_local_cluster_is_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from crivo import session
+
+    def named(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert session.shared_folder(named("local")) == session.shared_folder(named("local[4]"))
+    for master in ("local-cluster[3,2,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(named(master))
