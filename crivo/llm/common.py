@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crivo.sources.tables import staged
+from crivo.sources.tables import scratch, staged
 
 # Bytes of text that a task turns into hashes at a time: several arrays of
 # eight bytes for each of them are alive meanwhile, and should fit a cache.
@@ -147,38 +147,44 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     of a node with very many edges. Each round is written to the shared folder.
     """
     a, b = F.col(left), F.col(right)
-    links = staged(
-        edges.where(a != b)
-        .select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
-        .distinct(),
-        "links",
-    )
-    before = _mark(links)
-    while before[0]:
-        both = links.unionByName(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
-        least = both.groupBy("high").agg(F.min("low").alias("to"))
-        least = staged(least.select("high", F.least("high", "to").alias("to")), "least")
-        stars = (
-            links.select(F.col("low").alias("near"), F.col("high").alias("far"))
-            .join(least.withColumnRenamed("high", "near"), "near")
-            .select(F.col("far").alias("high"), F.col("to").alias("low"))
-            .distinct()
-        )
-        to = stars.groupBy("high").agg(F.min("low").alias("to"), F.count("low").alias("n"))
-        several = to.where("n > 1").drop("n")
-        moved = stars.join(several, "high").where("low != to")
+    with scratch(edges.sparkSession):
         links = staged(
-            to.select("high", F.col("to").alias("low"))
-            .unionByName(moved.select(F.col("low").alias("high"), F.col("to").alias("low")))
+            edges.where(a != b)
+            .select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
             .distinct(),
             "links",
         )
-        after = _mark(links)
-        if after == before:
-            break
-        before = after
-    return links.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(
-        links.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
+        before = _mark(links)
+        while before[0]:
+            with scratch(edges.sparkSession):
+                links = staged(_star_round(links), "links", result=True)
+            after = _mark(links)
+            if after == before:
+                break
+            before = after
+        lows = links.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
+        stars = links.select(F.col("high").alias("node"), F.col("low").alias("component"))
+        return staged(stars.unionByName(lows), "components", result=True)
+
+
+def _star_round(links: DataFrame) -> DataFrame:
+    """A large star and a small star."""
+    both = links.unionByName(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
+    least = both.groupBy("high").agg(F.min("low").alias("to"))
+    least = staged(least.select("high", F.least("high", "to").alias("to")), "least")
+    stars = (
+        links.select(F.col("low").alias("near"), F.col("high").alias("far"))
+        .join(least.withColumnRenamed("high", "near"), "near")
+        .select(F.col("far").alias("high"), F.col("to").alias("low"))
+        .distinct()
+    )
+    to = stars.groupBy("high").agg(F.min("low").alias("to"), F.count("low").alias("n"))
+    several = to.where("n > 1").drop("n")
+    moved = stars.join(several, "high").where("low != to")
+    return (
+        to.select("high", F.col("to").alias("low"))
+        .unionByName(moved.select(F.col("low").alias("high"), F.col("to").alias("low")))
+        .distinct()
     )
 
 

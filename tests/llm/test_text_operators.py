@@ -154,12 +154,12 @@ def test_line_dedup(spark):
     kept = {(r.doc_id, r.line): r.kept for r in lines.line_groups(docs, "doc_id", "text").collect()}
     assert kept == {
         (1, 0): True, (1, 1): True, (1, 3): True, (2, 0): False, (2, 1): True, (3, 0): False,
-        (3, 1): False, (7, 0): True, (7, 1): False, (7, 2): True,
+        (3, 1): False, (7, 0): True, (7, 1): True, (7, 2): True,
     }
     out = {r.doc_id: (r.text, r.line) for r in lines.dedup_lines(docs).collect()}
     assert out == {
         1: (rows[0][1], 0), 2: ("another line that nobody else has at all", 1),
-        4: ("", 3), 5: (None, 4), 6: ("***\n", 5), 7: ("a 1\nb", 6),
+        4: ("", 3), 5: (None, 4), 6: ("***\n", 5), 7: ("a 1\na 2\nb", 6),
     }
 
 
@@ -458,3 +458,80 @@ def test_word_hashes_follow_words():
     assert len(set(words.tolist())) == 3
     grams, of = ngrams(words, rows, 2)
     assert grams[0] == grams[1] != grams[2] and of.tolist() == [0, 2, 4, 5]
+
+
+def test_lines_of_two_texts_under_one_id(spark):
+    copy = "this very line stands in another document as well"
+    rows = [(1, copy), (5, f"{copy}\nsomething"), (5, "a unique first line that nobody else wrote at all\nmore"),
+            (None, copy), (None, "words that only the other nameless text holds")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted((str(r.doc_id), r.text) for r in lines.dedup_lines(docs).collect())
+    # The null id comes first, so its copy stays.
+    assert out == sorted(
+        [("5", "something"), ("5", rows[2][1]), ("None", copy), ("None", rows[4][1])]
+    )
+    repeated = docs.union(docs)
+    assert sorted((str(r.doc_id), r.text) for r in lines.dedup_lines(repeated).collect()) == sorted(out + out)
+
+
+def test_short_lines_link_by_their_similarity_only(spark):
+    docs = spark.createDataFrame([(1, "x+1"), (2, "x-1"), (3, "a 1"), (4, "a 2"), (5, "a 2")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in lines.dedup_lines(docs).collect()) == [1, 2, 3, 4]
+
+
+def test_dedup_of_lines_takes_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "same line here", 1), (2, "same line here", 2)], "doc_id long, text string, key long")
+    docs = docs.withColumns({c: F.col("key") for c in ("lines", "stays", "text_hash", "_gone", "_stays", "g", "line", "first")})
+    out = lines.dedup_lines(docs)
+    assert out.columns == docs.columns and [r.stays for r in out.collect()] == [1]
+
+
+def _der(size):
+    body = b"\x02" + (size.to_bytes(1, "big") if size < 128 else b"\x81" + size.to_bytes(1, "big")) + bytes(range(1, 1 + size))
+    return b"\x30" + (bytes([len(body)]) if len(body) < 128 else b"\x81" + bytes([len(body)])) + body
+
+
+def test_secrets_behind_what_only_looks_like_one():
+    import base64
+    import json
+    import time
+
+    def part(text):
+        return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+    claims, signature = part(json.dumps({"sub": "x"})), part("s" * 32)
+    for header in ('{ "alg": "HS256" }', '{\n "alg": "HS256"}', '{"alg":"none"}'):
+        token = f"{part(header)}.{claims}.{signature}"
+        assert secrets.confirmed_spans(f"see example.org.net ({token})") == [("token", 21, 21 + len(token))]
+    for text in ("eyJhbGci", "ex.am.ple", f"{part('{ }')}.{claims}.{signature}"):
+        assert secrets.confirmed_spans(text) == []
+    key = _der(60)
+    for lead in ("3030", "30", "30453030"):
+        found = secrets.confirmed_spans(f"z {lead}{key.hex()} z")
+        assert found == [("key", 2 + len(lead), 2 + len(lead) + 2 * len(key))], lead
+    coded = base64.b64encode(key).decode()
+    found = secrets.confirmed_spans(f"z MEMC{coded} z")
+    assert found == [("key", 6, 6 + len(coded))]
+    took = []
+    for times in (1, 4):
+        blob = ("MEMCMIIB" * 2500 + "30823045" * 2500) * times
+        start = time.perf_counter()
+        secrets.confirmed_spans(blob)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0] + 1
+
+
+def test_stages_take_documents_with_columns_of_their_own_results(spark, small):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
+    extra = ("spans", "score", "n_hex", "base_sha256", "_text", "clean_text", "lines", "stays", "key", "_column_0")
+    docs = docs.withColumns({c: F.lit(c) for c in extra}).unionByName(
+        spark.createDataFrame([(None, None, None, None, None), (10**9, "", None, None, None)], docs.schema)
+        .withColumns({c: F.lit(c) for c in extra})
+    )
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns, name
+        assert {r.spans for r in out.collect()} == {"spans"}, name
+        assert stage(spark, docs.limit(0), small).isEmpty(), name
