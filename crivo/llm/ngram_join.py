@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crivo.llm.common import (
@@ -36,7 +36,7 @@ from crivo.llm.common import (
     text_chunks,
     words_of,
 )
-from crivo.sources.tables import staged
+from crivo.sources.tables import scratch, staged
 
 
 @dataclass(frozen=True)
@@ -301,8 +301,18 @@ def ngram_jaccard_components(
     joins its component without naming it and is null where nothing else does.
     Other columns are not read.
     """
+    with scratch(docs.sparkSession):
+        rows, least = _members(docs.select(doc_id, text), doc_id, text, params)
+    return rows.join(least, "component", "left").select(
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def _members(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> tuple[DataFrame, DataFrame]:
+    """Rows with their component, and the smallest id of each component."""
     spark = docs.sparkSession
-    docs = docs.select(doc_id, text)
     only = docs.select(text)
     counts = np.zeros(1 << params.order_buckets, np.int64)
     found = (
@@ -321,14 +331,10 @@ def ngram_jaccard_components(
         .sortWithinPartitions("slot", "key")
         .mapInArrow(_shared(order), "gram long, key long, place long, n long")
     )
-    fronts.createOrReplaceTempView("fronts")
-    fronts = staged(
-        spark.sql(
-            "SELECT *, row_number() OVER (PARTITION BY key ORDER BY place) - 1 AS before,"
-            " count(*) OVER (PARTITION BY key) AS common FROM fronts"
-        ),
-        "fronts",
-    )
+    of_set = Window.partitionBy("key")
+    before = F.row_number().over(of_set.orderBy("place")) - 1
+    common = F.count(F.lit(1)).over(of_set)
+    fronts = staged(fronts.withColumns({"before": before, "common": common}), "fronts")
     # The fewer grams of its front no other set has, the more a set can link with.
     alone = (F.col("n") - F.ceil(F.col("n") * params.percent / 100) + 1 - F.col("common")).alias("alone")
     front = F.struct(alone, "place", "key", "n", "before")
@@ -395,12 +401,7 @@ def ngram_jaccard_components(
         links = links.union(_linked(rest, docs, text, params, order))
         parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
 
-    rows = staged(sets.join(parts, "key", "left").withColumn("component", component), "members")
-    least = staged(
-        rows.where("n > 0").groupBy("component").agg(F.min("id").alias("least")), "least"
-    )
-    return rows.join(least, "component", "left").select(
-        F.col("id").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
-    )
+    rows = sets.join(parts, "key", "left").withColumn("component", component)
+    rows = staged(rows, "members", result=True)
+    least = rows.where("n > 0").groupBy("component").agg(F.min("id").alias("least"))
+    return rows, staged(least, "least", result=True)
