@@ -109,11 +109,11 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def quality_scores(
-    spark: SparkSession, docs: DataFrame, folder: str, keep: list[str], fitted_on: DataFrame
+    spark: SparkSession, docs: DataFrame, folder: str, keep: list[str], fitted_on: DataFrame, text: str = "text"
 ) -> DataFrame:
     marks = table(spark, folder, "labels").where(~held_out()).select("doc_id", "quality")
     model = ftrl.fit_quality(fitted_on, marks, "doc_id", "text")
-    return ftrl.score_quality(docs, "text", model, keep)
+    return ftrl.score_quality(docs, text, model, keep)
 
 
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:

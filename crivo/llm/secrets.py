@@ -15,7 +15,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,17 +30,24 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 _BASE64 = "[A-Za-z0-9+/_-]"
-TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-# A DER sequence of 32 bytes or more begins with 0x30 and a length.
-DER = re.compile(rf"M[CDEFGHIJ]{_BASE64}{{30,}}")
-DER_HEX = re.compile(r"30(?:[0-7][0-9a-fA-F]|8[1-4])(?:[0-9a-fA-F]{2}){30,}")
+# A header begins with a brace and maybe white space behind it: at the start of a
+# run of base64, or anywhere if a quote follows at once.
+TOKEN = re.compile(
+    r"(?:(?<![A-Za-z0-9_-])e[w-z0-9_-]|eyJ)[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+)
+# A DER sequence of 32 bytes or more begins with 0x30 and a length. How much
+# belongs to it, its length says.
+DER = re.compile(rf"M[CDEFGHIJ]{_BASE64}{{30}}")
+DER_HEX = re.compile(r"30(?:[0-7][0-9a-fA-F]|8[1-4])(?:[0-9a-fA-F]{2}){30}")
 SSH = re.compile(rf"(?:AAAA|b3BlbnNzaC1rZXktdjEA){_BASE64}{{20,}}(?:\s{{1,2}}{_BASE64}{{16,}})*={{0,2}}")
 _OPENSSH = b"openssh-key-v1\x00"
 # Base64 goes on over line ends, indented, quoted or escaped as they may be.
 _RUN = re.compile(f"{_BASE64}+")
+_HEX_ONLY = re.compile("[0-9a-fA-F]+")
 _GAP = re.compile(r"(?:\\+[nr]|\\?[\s\"'>])+")
 _GOES_ON = re.compile(r"[A-Za-z0-9+/_]|-(?!----)")
-# Characters in which the length of an SSH key has to show.
+# Characters in which the length of an SSH key has to show: private keys of the
+# largest sizes in use take some 16,000.
 _SSH_MOST = 1 << 16
 
 
@@ -219,24 +226,44 @@ def is_ssh_key(data: bytes) -> bool:
     return bool(known) and len(fields) >= 2 and at == len(data)
 
 
+def _der_hex_end(text: str, start: int) -> int:
+    """As ``_der_end``, of a sequence written in hex digits."""
+    length = _der_length(bytes.fromhex(text[start : start + 12]), 1)
+    end = start + 2 * sum(length) if length else 0
+    if not start < end <= len(text) or not _HEX_ONLY.fullmatch(text, start, end):
+        return 0
+    return end if 2 * der_size(bytes.fromhex(text[start:end])) == end - start else 0
+
+
+def _confirmed(
+    pattern: re.Pattern, text: str, end_of: Callable[[re.Match], int]
+) -> Iterator[tuple[re.Match, int]]:
+    """Matches with the end that was confirmed for them. Behind a match that is
+    not confirmed the search goes on at its next character, since what it covers
+    may hold another; a later line of a key may begin like one, so behind a
+    confirmed match it goes on at that one's end."""
+    at = 0
+    while m := pattern.search(text, at):
+        end = end_of(m)
+        at = end or m.start() + 1
+        if end:
+            yield m, end
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the kinds that have to decode. A key ends where its own lengths
     say so, on whatever line that is; an SSH key that breaks off before is tried
     whole, then its first line alone."""
     found = []
-    if "eyJ" in text:
-        found += [("token", *m.span()) for m in TOKEN.finditer(text) if is_token(m.group())]
+    if "." in text:
+        for m, end in _confirmed(TOKEN, text, lambda m: m.end() if is_token(m.group()) else 0):
+            found.append(("token", m.start(), end))
     if "M" in text:
-        end = 0
-        for m in DER.finditer(text):
-            # A later line of a key may begin like a key.
-            if m.start() >= end and (stop := _der_end(text, m.start())):
-                end = stop
-                found.append(("key", m.start(), end))
+        for m, end in _confirmed(DER, text, lambda m: _der_end(text, m.start())):
+            found.append(("key", m.start(), end))
     if "30" in text:
-        for m in DER_HEX.finditer(text):
-            if size := der_size(bytes.fromhex(m.group())):
-                found.append(("key", m.start(), m.start() + 2 * size))
+        for m, end in _confirmed(DER_HEX, text, lambda m: _der_hex_end(text, m.start())):
+            found.append(("key", m.start(), end))
     if "AAAA" in text or "b3BlbnNzaC1rZXktdjEA" in text:
         for m in SSH.finditer(text):
             if stop := _ssh_end(text, m.start()):
