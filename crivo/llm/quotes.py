@@ -33,39 +33,42 @@ def passages(text: Column) -> Column:
     Blank lines end a passage and belong to none. ``passage`` keeps the line
     ends, without the marks.
     """
-    lines = F.transform(
+    line = F.transform(
         F.split(F.coalesce(text, F.lit("")), r"\r\n|\r|\n"),
         lambda x: F.struct(
             quote_level(x).alias("level"),
             F.regexp_replace(x, r"^[\x20\x09]*>[\x20\x09>]*", "").alias("line"),
         ),
     )
-    # Runs are cut by joining lines with a character no text may hold: a break
-    # is put where the level changes or a line is blank.
-    empty = F.array().cast("array<struct<level:int,passage:string,open:boolean>>")
-
-    def add(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        blank = F.trim(x["line"]) == ""
-        goes_on = F.coalesce(last["open"] & (last["level"] == x["level"]), F.lit(False))
-        fresh = F.struct(x["level"].alias("level"), x["line"].alias("passage"), F.lit(True).alias("open"))
-        longer = F.struct(
-            last["level"].alias("level"),
-            F.concat(last["passage"], F.lit("\n"), x["line"]).alias("passage"),
-            F.lit(True).alias("open"),
-        )
-        closed = F.struct(
-            last["level"].alias("level"), last["passage"].alias("passage"), F.lit(False).alias("open")
-        )
-        before = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return (
-            F.when(blank & last.isNotNull(), F.concat(before, F.array(closed)))
-            .when(blank, done)
-            .when(goes_on, F.concat(before, F.array(longer)))
-            .otherwise(F.concat(done, F.array(fresh)))
+    marked = F.transform(
+        line, lambda x: F.struct(x["level"].alias("level"), x["line"].alias("line"), (F.trim(x["line"]) == "").alias("blank"))
+    )
+
+    def cut(lines: Column) -> Column:
+        """A run opens and closes where the next line to either side is blank,
+        of another level or missing, so each line is looked at a few times."""
+
+        def ends(step: int):
+            def at_end(i: Column) -> Column:
+                here, there = F.get(lines, i), F.get(lines, i + step)
+                apart = there["blank"] | (there["level"] != here["level"])
+                return ~here["blank"] & F.coalesce(apart, F.lit(True))
+
+            return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), at_end)
+
+        return F.zip_with(
+            ends(-1),
+            ends(1),
+            lambda first, last: F.struct(
+                F.get(lines, first)["level"].alias("level"),
+                F.array_join(
+                    F.transform(F.slice(lines, first + 1, last - first + 1), lambda x: x["line"]), "\n"
+                ).alias("passage"),
+            ),
         )
 
-    return F.aggregate(lines, empty, add)
+    # As the element of an array the lines are worked out once for all of this.
+    return F.transform(F.array(marked), cut)[0]
 
 
 def parts(passage: Column) -> Column:

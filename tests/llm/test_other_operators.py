@@ -1,6 +1,9 @@
 """Pages, vectors, chats, the registered queries and the pipeline."""
 
 import math
+import random
+import re
+import time
 
 import duckdb
 import numpy as np
@@ -215,3 +218,59 @@ def test_pipeline(spark, small):
             assert docs.where(F.length("text") != F.col("n_chars")).isEmpty(), name
         ids = left
     assert {r.doc_id for r in corpus_pipeline.run(spark, small).select("doc_id").collect()} == ids
+
+
+def passages_by_hand(text):
+    found, last = [], None
+    for line in re.split(r"\r\n|\r|\n", text or ""):
+        marks = re.match(r"[ \t]*((?:>[ \t]*)*)", line).group(1)
+        level, own = marks.count(">"), re.sub(r"^[ \t]*>[ \t>]*", "", line)
+        if not own.strip(" "):
+            last = None
+        elif last == level:
+            found[-1][1].append(own)
+        else:
+            found.append((level, [own]))
+            last = level
+    return [(level, "\n".join(own)) for level, own in found]
+
+
+def test_passages_are_those_of_a_plain_loop(spark):
+    chance = random.Random(8)
+    pieces = ["> a", ">> b", "> > c", "plain", "", " ", ">", "> ", "\t> d", "e > f", ">g", "\t"]
+    texts = [chance.choice(["\n", "\r\n", "\r"]).join(chance.choices(pieces, k=chance.randint(0, 12))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate([None, "", *texts])), "i int, text string")
+    got = {r.i: [tuple(p) for p in r.p] for r in df.select("i", quotes.passages(F.col("text")).alias("p")).collect()}
+    assert got == {i: passages_by_hand(t) for i, t in enumerate([None, "", *texts])}
+
+
+def test_passages_of_a_very_long_message(spark):
+    text = "\n".join("> " * (i % 3) + f"line {i}" + ("\n" if i % 5 == 0 else "") for i in range(100_000))
+    df = spark.createDataFrame([(text, "x " * 10), ("> one\n" * 100_000, "")], "text string, other string")
+    start = time.perf_counter()
+    rows = df.select(quotes.passages(F.col("text")).alias("p")).collect()
+    assert time.perf_counter() - start < 60
+    assert [tuple(p) for p in rows[0].p] == passages_by_hand(text)
+    assert len(rows[1].p) == 1 and rows[1].p[0].passage.count("\n") == 99_999
+
+
+def test_quotes_of_generated_chats_link_to_their_originals(spark):
+    """Each message quotes some earlier ones as a whole; the lowest level and, of
+    equals, the latest message is what it replies to."""
+    chance = random.Random(12)
+    rows, wanted = [], {}
+    for conversation in range(30):
+        said = []
+        for turn in range(chance.randint(2, 9)):
+            own = f"Message {conversation} {turn} says: {chance.randint(0, 10**9)}!"
+            named = sorted(chance.sample(range(turn), k=min(turn, chance.randint(0, 2))))
+            levels = [chance.randint(1, 2) for _ in named]
+            lines = [line for n, k in zip(named, levels) for line in (">" * k + " " + said[n].upper(), "")]
+            rows.append((conversation, turn, "user", "\n".join([*lines, own])))
+            low = [n for n, k in zip(named, levels) if k == min(levels)]
+            wanted[conversation, turn] = (max(low) if low else None, len(named), own)
+            said.append(own)
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chats.withColumns({c: F.lit("x") for c in ("id", "level", "said", "reply_to", "thread", "whole")})
+    got = {(r.conv_id, r.turn): (r.reply_to, r.n_quotes, r.text) for r in quotes.linked_messages(chats).collect()}
+    assert got == wanted
