@@ -67,6 +67,14 @@ def fold_versions(events: DataFrame) -> DataFrame:
     )
 
 
+def fold_paths(aliases: DataFrame, versions: DataFrame) -> DataFrame:
+    """Where the model of each alias lies: (model, alias, version, path). The path
+    is NULL where an alias names a version that nobody registered."""
+    return aliases.join(
+        versions.select("model", "version", "path"), ["model", "version"], "left"
+    ).select("model", "alias", "version", "path")
+
+
 def number_versions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give register events without a number the next one of their model, in
     sequence order."""
@@ -172,7 +180,9 @@ class Registry:
         version = self.version_of(alias)
         if version is None:
             raise ValueError(f"{self.model} has no alias {alias}")
-        path = self._path(version)
+        events = self.events().where(F.col("model") == self.model)
+        paths = fold_paths(fold_aliases(events), fold_versions(events))
+        path = paths.where(F.col("alias") == alias).first().path
         rows = self._spark.read.schema(SIGNATURES).parquet(f"{path}/signature").collect()
         return LoadedModel(
             self.model,
@@ -184,11 +194,6 @@ class Registry:
             ],
         )
 
-    def _path(self, version: int) -> str:
-        """Where the event of a version says it lies."""
-        ours = (F.col("model") == self.model) & (F.col("version") == version)
-        return fold_versions(self.events()).where(ours).first().path
-
     def _facts(self, alias: str | None = None):
         """What the next change depends on, in one pass over the events."""
         of_alias = F.col("op").isin(SET_ALIAS, DELETE_ALIAS) & (F.col("key") == F.lit(alias))

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crivo.sources.tables import staged
+
 # A key with more rows than this is hot: one task should not hold its group.
 HOT_ROWS = 1_000_000
 # The hot keys travel to every task, so their number is bounded.
@@ -18,17 +20,18 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame | None
 
     Counting combines on the map side and reads one column. At most rows/limit
     keys can pass; when even that is more than ``MOST_HOT_KEYS`` the limit
-    grows tenfold, so the result always fits a broadcast.
+    grows tenfold, so the result always fits a broadcast. Rows are counted once:
+    keys that pass the first limit are staged if there are too many.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     while True:
-        rows = (
-            counts.where(F.col("n_rows") > limit).select(key).limit(MOST_HOT_KEYS + 1).collect()
-        )
+        over = counts.where(F.col("n_rows") > limit)
+        rows = over.limit(MOST_HOT_KEYS + 1).collect()
         if not rows:
             return None
         if len(rows) <= MOST_HOT_KEYS:
-            return df.sparkSession.createDataFrame(rows, df.select(key).schema)
+            return df.sparkSession.createDataFrame([(r[0],) for r in rows], df.select(key).schema)
+        counts = staged(over, "hot_keys")
         limit *= 10
 
 

@@ -405,6 +405,18 @@ FROM registry WHERE op = 'register'""",
   FROM registry WHERE op IN ('set_alias', 'delete_alias')
 )
 SELECT model, key AS alias, version FROM latest WHERE rn = 1 AND op = 'set_alias'""",
+        "registry_paths": _REGISTRY
+        + """
+, latest AS (
+  SELECT *, row_number() OVER (PARTITION BY model, key ORDER BY seq DESC) AS rn
+  FROM registry WHERE op IN ('set_alias', 'delete_alias')
+), versions AS (
+  SELECT model, value AS path, row_number() OVER (PARTITION BY model ORDER BY seq)::INTEGER AS version
+  FROM registry WHERE op = 'register'
+)
+SELECT a.model, a.key AS alias, a.version, v.path
+FROM latest a LEFT JOIN versions v ON v.model = a.model AND v.version = a.version
+WHERE rn = 1 AND op = 'set_alias'""",
         "registry_metadata": _REGISTRY
         + """
 , latest AS (

@@ -296,6 +296,13 @@ def registry_aliases(spark: SparkSession, folder: str) -> DataFrame:
     return registry.fold_aliases(_registry_log(spark, folder))
 
 
+def registry_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the model that each alias points to lies."""
+    log = _registry_log(spark, folder)
+    versions = registry.fold_versions(registry.number_versions(log))
+    return registry.fold_paths(registry.fold_aliases(log), versions)
+
+
 def registry_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return registry.fold_metadata(_registry_log(spark, folder))
 
@@ -678,6 +685,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_metrics": run_metrics,
         "registry_versions": registry_versions,
         "registry_aliases": registry_aliases,
+        "registry_paths": registry_paths,
         "registry_metadata": registry_metadata,
         "champion_vs_challenger": champion_vs_challenger,
         "promotion_decision": promotion_decision,

@@ -6,8 +6,12 @@ again: the output folder is named after the batch.
 """
 
 import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crivo import schema
@@ -17,10 +21,29 @@ from crivo.operators.registry import LoadedModel
 from crivo.operators.scoring import responses
 
 
+CORRUPT = "_corrupt_record"
+
+
 def arriving_contracts(spark: SparkSession, folder: str) -> DataFrame:
-    """Contracts as JSON lines, dropped into a folder."""
+    """Contracts as JSON lines, dropped into a folder. A line that is no contract
+    comes with its text in ``_corrupt_record``."""
+    fields = [schema.FEATURE_TABLE[schema.KEY], *schema.REQUEST.fields, T.StructField(CORRUPT, T.StringType())]
+    return (
+        spark.readStream.schema(T.StructType(fields))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(folder)
+    )
+
+
+def can_be_scored(contracts: DataFrame) -> Column:
+    """Lines that were contracts and hold every whole number: those have no
+    missing value in a signature."""
     fields = [schema.FEATURE_TABLE[schema.KEY], *schema.REQUEST.fields]
-    return spark.readStream.schema(type(schema.REQUEST)(fields)).json(folder)
+    whole = [F.col(f.name).isNotNull() for f in fields if isinstance(f.dataType, T.LongType)]
+    if CORRUPT in contracts.columns:
+        whole.append(F.col(CORRUPT).isNull())
+    return reduce(and_, whole)
 
 
 def answer_arrivals(contracts: DataFrame, model: LoadedModel) -> DataFrame:
@@ -34,19 +57,28 @@ def store_spans_of_arrivals(
     output: str,
     checkpoint: str,
     name: str = traces.STORED_SPAN,
+    rejected: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that takes what has arrived and stops."""
+    """Start a query that takes what has arrived and stops.
+
+    What cannot be scored does not stop it: it goes to the folder ``rejected``
+    (``<output>_rejected`` if none is named), with the text of lines that could
+    not be read in ``line``."""
+    aside = rejected or f"{output.rstrip('/')}_rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = datetime.datetime.now(datetime.timezone.utc)
+        fit = can_be_scored(batch)
+        answered = answer_arrivals(batch.where(fit).drop(CORRUPT), model)
         spans = traces.spans(
-            batch, name, model.name, model.version, f"stream-{batch_id}", started
+            answered, name, model.name, model.version, f"stream-{batch_id}", started
         )
         spans.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        lost = batch.where(~fit).withColumnRenamed(CORRUPT, "line")
+        lost.write.mode("overwrite").json(f"{aside}/batch={batch_id}")
 
     return (
-        answer_arrivals(contracts, model)
-        .writeStream.foreachBatch(write)
+        contracts.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -129,6 +129,13 @@ def test_stream_gives_the_answers_of_the_batch(ws, spark, features):
     assert run().count() == features.count()
     request.limit(4).write.mode("append").json(arriving)
     assert run().count() == features.count() + 4
+    # Lines that are no contracts, or lack a whole number, go aside.
+    broken = ['{"id_contrato": 1, "prazo', '{"id_contrato": "x"}', '{"id_contrato": 7}']
+    spark.createDataFrame([(t,) for t in broken], "value string").write.mode("append").text(arriving)
+    request.limit(2).write.mode("append").json(arriving)
+    assert run().count() == features.count() + 6
+    aside = spark.read.json(f"{output}_rejected").collect()
+    assert sorted((r.id_contrato or 0, r.line or "") for r in aside) == [(0, broken[1]), (0, broken[0]), (7, "")]
 
 
 def test_repeated_run_replaces_what_it_stored(ws):
