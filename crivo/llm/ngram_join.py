@@ -12,7 +12,8 @@ Only those are shuffled, and those that one text alone has go first.
 
 No group of documents with a gram is expanded into pairs. The group's hub is the
 document with the fewest grams that it has alone, and a document is compared with
-the hub it shares most with; what links is one component. After that only pairs of
+the hub it shares most with; what links is one component. Documents that stay
+outside get a hub among themselves once more. After that only pairs of
 different components are left, and of those only the ones in which a document is
 outside the hub's component. Both steps drop pairs whose shared grams cannot
 reach the threshold any more. So components are those of all pairs, and no cap
@@ -45,13 +46,16 @@ class JoinParams:
     ``order_buckets``: gram frequencies are counted in 2^so many buckets; more
     of them tell frequent grams apart in a larger corpus, results don't change.
     ``fragments``: parts of the global order. ``group_rows``: rows of one gram
-    that one task may look through; more are spread over several."""
+    that one task may look through; more are spread over several. ``hub_rounds``:
+    how often sets are compared with a hub before pairs are; results don't
+    change."""
 
     words: int = 5
     percent: int = 80
     order_buckets: int = 20
     fragments: int = 8
     group_rows: int = 1 << 16
+    hub_rounds: int = 2
 
 
 class GramOrder:
@@ -278,6 +282,27 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, params: JoinParams, or
     )
 
 
+def _best_hubs(rows: DataFrame, hubs: DataFrame, params: JoinParams) -> DataFrame:
+    """(a, na, b, nb): each set b with that of its hubs it shares most with, of
+    those in other components."""
+    return (
+        rows.alias("x")
+        .join(hubs.alias("h"), F.col("x.gram") == F.col("h.gram"))
+        .where(
+            (F.col("x.key") != F.col("h.key"))
+            & (F.col("x.component") != F.col("h.component"))
+            & _reaches(params.percent, "x", "h")
+        )
+        .groupBy(
+            F.col("h.key").alias("a"), F.col("h.n").alias("na"), F.col("x.key").alias("b"), F.col("x.n").alias("nb")
+        )
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .groupBy("b", "nb")
+        .agg(F.max(F.struct("shared", "a", "na")).alias("best"))
+        .select("best.a", "best.na", "b", "nb")
+    )
+
+
 def _enough_shared(percent: int) -> Column:
     """Whether a pair that shares ``shared`` grams of both fronts can link.
 
@@ -337,37 +362,29 @@ def _members(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> tup
     fronts = staged(fronts.withColumns({"before": before, "common": common}), "fronts")
     # The fewer grams of its front no other set has, the more a set can link with.
     alone = (F.col("n") - F.ceil(F.col("n") * params.percent / 100) + 1 - F.col("common")).alias("alone")
-    front = F.struct(alone, "place", "key", "n", "before")
-    hubs = staged(
-        fronts.groupBy("gram").agg(F.min(front).alias("hub")).select("gram", "hub.*"), "hubs"
-    )
-    # Of its hubs a document is compared with the one that it shares most with.
-    shared = F.count(F.lit(1)).alias("shared")
-    with_hub = (
-        fronts.alias("x")
-        .join(hubs.alias("h"), F.col("x.gram") == F.col("h.gram"))
-        .where((F.col("x.key") != F.col("h.key")) & _reaches(params.percent, "x", "h"))
-        .groupBy(
-            F.col("h.key").alias("a"), F.col("h.n").alias("na"), F.col("x.key").alias("b"), F.col("x.n").alias("nb")
-        )
-        .agg(shared)
-        .groupBy("b", "nb")
-        .agg(F.max(F.struct("shared", "a", "na")).alias("best"))
-    )
-    with_hub = staged(with_hub.select("best.a", "best.na", "b", "nb"), "with_hub")
-    links = staged(_linked(with_hub, docs, text, params, order), "linked")
-
+    front = F.struct(alone, "place", "key", "n", "before", "component")
     component = F.coalesce("component", "key")
-    parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
-    placed = staged(
-        fronts.join(parts, "key", "left").withColumn("component", component), "placed"
-    )
-    centre = hubs.select("gram", "key").join(parts, "key", "left").select(
-        "gram", component.alias("centre")
-    )
-    outside = staged(
-        placed.join(staged(centre, "centres"), "gram").where("component != centre"), "outside"
-    )
+    placed = fronts.withColumn("component", F.col("key"))
+    outside, centre, compared, links = placed, None, None, None
+    # Sets outside the component of their group's hub get a hub among themselves,
+    # as that of a second group whose texts are near each other.
+    for _ in range(params.hub_rounds):
+        hubs = staged(
+            outside.groupBy("gram").agg(F.min(front).alias("hub")).select("gram", "hub.*"), "hubs"
+        )
+        with_hub = staged(_best_hubs(outside, hubs, params), "with_hub")
+        found = staged(_linked(with_hub, docs, text, params, order), "linked")
+        compared = with_hub if compared is None else compared.union(with_hub)
+        links = found if links is None else links.union(found)
+        parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
+        placed = staged(fronts.join(parts, "key", "left").withColumn("component", component), "placed")
+        centre = hubs.select("gram", "key") if centre is None else centre
+        centres = centre.join(parts, "key", "left").select("gram", component.alias("centre"))
+        outside = staged(
+            placed.join(staged(centres, "centres"), "gram").where("component != centre"), "outside"
+        )
+        if outside.isEmpty():
+            break
     beside = placed.join(outside.select("gram").distinct(), "gram", "left_semi")
     x_first = F.col("x.key") < F.col("y.key")
 
@@ -388,10 +405,10 @@ def _members(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> tup
             one("key", ~x_first).alias("b"),
             one("n", ~x_first).alias("nb"),
         )
-        .agg(shared)
+        .agg(F.count(F.lit(1)).alias("shared"))
         .where(_enough_shared(params.percent))
         .join(
-            with_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+            compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
             ["a", "b"],
             "left_anti",
         )
