@@ -344,10 +344,12 @@ def _split_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _models(split: DataFrame) -> registry.Registry:
-    """The registry of models fitted on just these rows, in the shared folder."""
+    """This application's registry of models fitted on just these rows, in the
+    shared folder."""
     spark = split.sparkSession
     rows = split.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*split.columns)).alias("h")).first()
-    return registry.Registry(spark, f"{shared_folder(spark)}/models_{rows.n}_{rows.h or 0:x}", MODEL)
+    name = f"models_{spark.sparkContext.applicationId}_{rows.n}_{rows.h or 0:x}"
+    return registry.Registry(spark, f"{shared_folder(spark)}/{name}", MODEL)
 
 
 def _fit_and_register(

@@ -99,6 +99,9 @@ def scratch(spark: SparkSession):
         _scopes.reset(token)
         for path in paths:
             remove(spark, path)
+        # Shuffle files go once the driver collects what referred to them, which a
+        # large heap puts off until disks are full.
+        spark._jvm.System.gc()
 
 
 def remove(spark: SparkSession, path: str) -> None:
