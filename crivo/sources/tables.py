@@ -40,9 +40,14 @@ def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = No
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(version)
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+    chosen = f"AS SELECT * FROM {version}"
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            # One change of the catalog; replacing a view would drop it first.
+            spark.sql(f"ALTER VIEW {table} {chosen}")
+            return spark.table(table)
         spark.sql(f"DROP TABLE {table}")  # made by other means
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    spark.sql(f"CREATE VIEW {table} {chosen}")
     return spark.table(table)
 
 
