@@ -26,6 +26,10 @@ from crivo.llm.units import UnitEncoder, gather
 BLANK = "▁"
 # Verdicts on pairs of pieces that a task remembers.
 MOST_PAIRS = 1_000_000
+# Characters that are searched before ids are taken, and the longest word that is
+# searched among others.
+_BLOCK, _LONGEST_WORD = 1 << 16, 1 << 10
+_NOT_REACHED = -2
 
 
 class PieceModel:
@@ -41,6 +45,7 @@ class PieceModel:
         self.ids = {p: i for i, p in enumerate(pieces) if p is not None and i not in special}
         self.scores = scores
         self.longest = max(map(len, self.ids))
+        self.width = [len(p or "") for p in pieces]
         self.characters = {p for p in self.ids if len(p) == 1}
         pieces_found = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -233,6 +238,79 @@ def encode_part(model: PieceModel, part: str) -> list[int]:
     return search.feed(part) + search.end()
 
 
+def encode_words(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words, end to end, and how many each has.
+
+    A word is a blank mark and what follows it, without another one, in a model
+    of merges no piece of which goes on into a blank mark. The words are one
+    text: all ways share the boundary before each mark, so the ids of a word are
+    committed there. A word longer than ``_LONGEST_WORD`` has its own search, and
+    so has a mark alone, with which the next word's mark could make a piece.
+    """
+    ids: list[int] = []
+    sizes: list[int] = []
+    block: list[str] = []
+    held = 0
+    for word in words:
+        apart = len(word) == 1 or len(word) > _LONGEST_WORD
+        if apart or held + len(word) > _BLOCK:
+            _search_words(model, block, ids, sizes)
+            block, held = [], 0
+        if apart:
+            found = encode_part(model, word)
+            ids += found
+            sizes.append(len(found))
+        else:
+            block.append(word)
+            held += len(word)
+    _search_words(model, block, ids, sizes)
+    return np.array(ids, np.int32), np.array(sizes, np.int64)
+
+
+def _search_words(model: PieceModel, words: list[str], ids: list[int], sizes: list[int]) -> None:
+    text = "".join(words)
+    # The last piece of the one way to each position.
+    last = [_NOT_REACHED] * (len(text) + 1)
+    if not model.characters.issuperset(text):
+        for i, character in enumerate(text):
+            if character not in model.characters:
+                last[i + 1] = -1
+    pairs = model.pairs
+    for end, (piece, size) in model.found(text):
+        end += 1
+        if last[end] != _NOT_REACHED:
+            continue  # one way fits, and it is found
+        origin = end - size
+        left = -1 if text[origin] == BLANK else last[origin]
+        if left == -1:
+            if model.stands(piece):
+                last[end] = piece
+        elif left >= 0:
+            if (fits := pairs.get(left << 32 | piece)) is None:
+                fits, pairs = model.follows(left, piece), model.pairs
+            if fits:
+                last[end] = piece
+    width = model.width
+    out: list[int] = []
+    counts: list[int] = []
+    at = len(text)
+    for word in reversed(words):
+        before, start = len(out), at - len(word)
+        while at > start:
+            piece = last[at]
+            if piece < 0:
+                out += reversed(model.fallback(text[at - 1]))
+                at -= 1
+            else:
+                out.append(piece)
+                at -= width[piece]
+        counts.append(len(out) - before)
+    out.reverse()
+    counts.reverse()
+    ids += out
+    sizes += counts
+
+
 def _encoder(model: PieceModel) -> UnitEncoder:
     import re
 
@@ -241,17 +319,19 @@ def _encoder(model: PieceModel) -> UnitEncoder:
     def marked(unit: str) -> str:
         return unit.replace(" ", BLANK)
 
+    def one_by_one(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [encode_part(model, marked(u)) for u in units]
+        return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
+
+    def together(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return encode_words(model, [marked(u) for u in units])
+
     # No piece goes on from another character into a blank, if none does in the
     # model: every way has a boundary before the blanks that follow a word.
     if any(BLANK in p.lstrip(BLANK) for p in model.ids):
-        return UnitEncoder(
-            lambda units: [encode_part(model, marked(u)) for u in units],
-            lambda text: encode_part(model, BLANK + marked(text)),
-            r"(?s).",
-            True,
-        )
+        return UnitEncoder(one_by_one, lambda text: encode_part(model, BLANK + marked(text)), r"(?s).", True)
     return UnitEncoder(
-        lambda units: [encode_part(model, marked(u)) for u in units],
+        together if model.merges and BLANK in model.ids else one_by_one,
         lambda text: [i for p in parts.findall(BLANK + marked(text)) for i in encode_part(model, p)],
         f"  |^ |{BLANK}",
         True,

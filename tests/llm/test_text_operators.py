@@ -279,6 +279,18 @@ def test_pieces_are_those_of_the_library(spark, small):
         assert r.back == (r.text or "").replace("▁", " ")
 
 
+def test_words_searched_together_are_those_searched_apart():
+    model = pieces.PieceModel.parse(queries.vocabulary(queries.PIECE_MODEL))
+    chance = random.Random(9)
+    words = ["▁" + "".join(chance.choices("abcthe0.\n日é\x00", k=chance.randrange(12))) for _ in range(3000)]
+    words[5:5] = ["▁", "▁" + "ab" * 2000, "▁", "▁"]
+    ids, sizes = pieces.encode_words(model, words)
+    apart = [pieces.encode_part(model, w) for w in words]
+    assert sizes.tolist() == [len(a) for a in apart]
+    assert ids.tolist() == [i for a in apart for i in a]
+    assert [len(a) for a in pieces.encode_words(model, [])] == [0, 0]
+
+
 def test_streaming_search_is_the_whole_search():
     names = [None, "a", "b", "ab", "ba", "aba", "▁", "▁a", "bb"]
     scores = [0.0, -2.0, -2.1, -2.5, -3.9, -4.4, -3.0, -3.1, -3.3]
