@@ -39,6 +39,11 @@ class PackParams:
     b: float = 0.75
 
 
+# Fixed value: where byte-level files split a text. Possessive, so that the
+# search for a part never goes back.
+_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+
 def byte_bpe_encoder(data: bytes) -> Callable[[str], np.ndarray]:
     """Ids of a text by a byte-level BPE tokenizer file, without special tokens.
 
@@ -48,9 +53,8 @@ def byte_bpe_encoder(data: bytes) -> Callable[[str], np.ndarray]:
     """
     if (ranks := _ranks(data)) is not None:
         import tiktoken
-        from public_tokenizers import PATTERN
 
-        fast = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        fast = tiktoken.Encoding("ranked", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
         return lambda text: fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
     from tokenizers import Tokenizer
 
