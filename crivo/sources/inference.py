@@ -1,9 +1,11 @@
 """Schemas of JSON documents nobody declared, found by an aggregate over all of them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crivo.sources.tables import staged
+
 # Families of JSON types: whole numbers and fractions are both numbers.
 LONG, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, NULL = (
     "long", "double", "string", "boolean", "object", "array", "null",
@@ -13,17 +15,21 @@ MOST_LEVELS = 32
 _TYPES = {LONG: T.LongType(), DOUBLE: T.DoubleType(), STRING: T.StringType(), BOOLEAN: T.BooleanType()}
 #: Stands for the elements of an array in a path.
 STEP = "[]"
+CORRUPT = "corrupt"
+_FRACTION = r"DECIMAL\(\d+,\d+\)|FLOAT"
+_TOO_DEEP = f"documents nest deeper than {MOST_LEVELS} levels"
 
 
-def _family(value):
-    found = F.schema_of_variant(value)
+def _family(shape: Column) -> Column:
+    """The family that a shape, as of ``schema_of_variant``, belongs to."""
     return (
-        F.when(found == "BIGINT", LONG)
-        .when(found.startswith("DECIMAL") | found.isin("DOUBLE", "FLOAT"), DOUBLE)
-        .when(found.startswith("OBJECT"), OBJECT)
-        .when(found.startswith("ARRAY"), ARRAY)
-        .when(found == "VOID", NULL)
-        .when(found == "BOOLEAN", BOOLEAN)
+        F.when(shape.isNull(), CORRUPT)
+        .when(shape == "BIGINT", LONG)
+        .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), DOUBLE)
+        .when(shape.startswith("OBJECT"), OBJECT)
+        .when(shape.startswith("ARRAY"), ARRAY)
+        .when(shape == "VOID", NULL)
+        .when(shape == "BOOLEAN", BOOLEAN)
         .otherwise(STRING)
     )
 
@@ -37,28 +43,64 @@ def json_fields(documents: DataFrame, text: str) -> DataFrame:
     of two sets of documents add up, so the aggregate combines on the map side
     and the schema of more documents needs the new ones only (``merged_fields``).
     Whole numbers and fractions make doubles; other mixtures conflict and are
-    kept as text. Values of a document are taken apart one level at a time, in
-    one pass over the level above, until no level holds objects or arrays.
+    kept as text. Values of equal shape are counted before they are taken apart, so
+    there is a row for each shape and not for each value. A shape does not tell how
+    many elements an array has, so values with arrays are taken apart one level at
+    a time, until no level holds any.
     """
     parsed = documents.select(F.try_parse_json(F.col(text)).alias("value"))
     level = parsed.select(F.array().cast("array<string>").alias("path"), "value")
-    counts = None
+    shape = F.regexp_replace(F.schema_of_variant("value"), _FRACTION, "DOUBLE")
+    shapes = None
+    for _ in range(MOST_LEVELS):
+        shaped = level.withColumn("shape", shape)
+        # Quoted names could look like types.
+        shaped = shaped.withColumn("apart", F.coalesce(F.col("shape").rlike("ARRAY<|`"), F.lit(False)))
+        known = F.when(F.col("apart"), _family(F.col("shape"))).otherwise(F.col("shape"))
+        counted = staged(
+            shaped.groupBy("path", "apart", known.alias("shape")).agg(F.count(F.lit(1)).alias("n")), "shapes"
+        )
+        shapes = counted if shapes is None else shapes.unionByName(counted)
+        if counted.where("apart").isEmpty():
+            return _fields(_counts_of(shapes))
+        level = _members(shaped.where("apart"), "path")
+    raise ValueError(_TOO_DEEP)
+
+
+def _counts_of(shapes: DataFrame) -> DataFrame:
+    """(path, family, n) of the values with a shape and of all values inside. Values
+    that were taken apart come with their family only."""
+    written = F.regexp_replace("shape", r"\b([A-Z]+)(?=[,>]|$)", '"$1"')
+    written = F.regexp_replace(written, r"(\w+): ", '"$1": ')
+    written = F.regexp_replace(F.regexp_replace(written, "OBJECT<", "{"), ">", "}")
+    counts = shapes.where("apart").select("path", F.col("shape").alias("family"), "n")
+    level = shapes.where("NOT apart").select("path", "n", F.parse_json(written).alias("value"))
     for _ in range(MOST_LEVELS):
-        typed = level.withColumn("family", F.when(F.col("value").isNull(), "corrupt").otherwise(_family(F.col("value"))))
-        counted = typed.groupBy("path", "family").agg(F.count(F.lit(1)).alias("n"))
-        counts = counted if counts is None else counts.unionByName(counted)
-        families = {r.family for r in counted.select("family").distinct().collect()}
-        if not families & {OBJECT, ARRAY}:
-            return _fields(counts)
-        nested = typed.where(F.col("family").isin(OBJECT, ARRAY)).withColumnRenamed("value", "whole")
-        members = nested.lateralJoin(documents.sparkSession.tvf.variant_explode(F.col("whole").outer()))
-        name = F.coalesce("key", F.lit(STEP))
-        level = members.select(F.array_append("path", name).alias("path"), "value")
-    raise ValueError(f"documents nest deeper than {MOST_LEVELS} levels")
+        leaf = F.try_variant_get("value", "$", "string")
+        is_object = F.schema_of_variant("value").startswith("OBJECT")
+        typed = level.withColumn("family", F.when(is_object, OBJECT).otherwise(_family(leaf)))
+        found = typed.groupBy("path", "family").agg(F.sum("n").alias("n"))
+        counts = counts.unionByName(found)
+        deepest = F.size("path") >= MOST_LEVELS - 1
+        nested = typed.where("family = 'object'")
+        if not counts.where(deepest & F.col("family").isin(OBJECT, ARRAY)).isEmpty():
+            raise ValueError(_TOO_DEEP)
+        if nested.isEmpty():
+            break
+        level = staged(_members(nested, "path", "n"), "members")
+    return counts
+
+
+def _members(values: DataFrame, *columns: str) -> DataFrame:
+    """What objects and arrays hold, under their paths, with other columns."""
+    whole = values.select(*columns, F.col("value").alias("whole"))
+    members = whole.lateralJoin(values.sparkSession.tvf.variant_explode(F.col("whole").outer()))
+    path = F.array_append("path", F.coalesce("key", F.lit(STEP))).alias("path")
+    return members.select(path, "value", *[c for c in columns if c != "path"])
 
 
 def _fields(counts: DataFrame) -> DataFrame:
-    kinds = (LONG, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, NULL, "corrupt")
+    kinds = (LONG, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, NULL, CORRUPT)
     sums = [F.coalesce(F.sum(F.when(F.col("family") == k, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in kinds]
     return _judged(counts.groupBy("path").agg(*sums))
 

@@ -1,6 +1,8 @@
 """Schemas found in JSON documents, and audits of both sides."""
 
+import collections
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,55 @@ def test_one_join_gives_the_audit_and_both_kinds_of_orphans(spark, hot_rows):
     assert audited.where("payload_uri = '/a' AND prob = 0.5 AND id_contrato = 1").count() == 500
     orphans = audit.references_without_payload(refs, payloads, hot_rows)
     assert orphans.columns == refs.columns and orphans.count() == 301
+
+
+def counted_one_by_one(documents):
+    """(path, family) of every value of the documents."""
+    families = {bool: "boolean", int: "long", float: "double", str: "string", type(None): "null"}
+
+    def inside(path, value):
+        if isinstance(value, (dict, list)):
+            yield path, "object" if isinstance(value, dict) else "array"
+            named = value.items() if isinstance(value, dict) else (("[]", v) for v in value)
+            for name, member in named:
+                yield from inside((*path, name), member)
+        else:
+            yield path, families[type(value)]
+
+    return collections.Counter(c for d in documents for c in inside((), d))
+
+
+def test_shapes_count_as_values_one_by_one(spark):
+    names = ["a", "b_1", "BIGINT", "OBJECT", "ARRAY", "a: BIGINT, b", "`", "", "7", "é", "DOUBLE>"]
+    draw = random.Random(5)
+
+    def value(depth):
+        kind = draw.randrange(9 if depth < 4 else 6)
+        if kind > 5:
+            some = draw.sample(names, draw.randrange(4))
+            return [value(depth + 1) for _ in some] if kind == 8 else {n: value(depth + 1) for n in some}
+        return (draw.randrange(9), 2.25, 1e300, "BIGINT", None, True)[kind]
+
+    documents = [value(0) for _ in range(400)]
+    numbers = ("long", "double", "string", "boolean", "object", "array", "null")
+    rows = fields(spark, list(map(json.dumps, documents))).collect()
+    found = {(tuple(r.path), k): r[f"n_{k}"] for r in rows for k in numbers if r[f"n_{k}"]}
+    assert found == counted_one_by_one(documents)
+
+
+def test_documents_are_read_once_for_each_level_of_arrays(spark, folder):
+    """What is returned reads counts, not the documents again for each level."""
+    lines = [json.dumps({"a": {"b": {"c": i, "d": 0.5}}}) for i in range(50)]
+    spark.createDataFrame([(t,) for t in lines], "value string").write.text(folder)
+    found = inference.json_fields(spark.read.text(folder), "value")
+    assert not [f for f in found.inputFiles() if folder in f]
+    assert {tuple(r.path): r.n_long + r.n_double for r in found.collect()}[("a", "b", "c")] == 50
+
+
+def test_documents_that_nest_too_deep(spark):
+    def nested(levels):
+        return '{"a":' * levels + "1" + "}" * levels
+
+    assert fields(spark, [nested(inference.MOST_LEVELS - 1)]).count() == inference.MOST_LEVELS
+    with pytest.raises(ValueError, match="deeper"):
+        fields(spark, [nested(inference.MOST_LEVELS)])
