@@ -188,3 +188,57 @@ def test_scores_come_from_the_registered_model(spark, small, monkeypatch, tmp_pa
     again = queries.queries()["score_proba"](spark, small).orderBy("id_contrato").collect()
     batch = queries.queries()["score_batch"](spark, small)
     assert first == again and batch.count() == len(first)
+
+
+@pytest.mark.parametrize("params", [ForestParams(30, 8, least_partitions=2), ForestParams(3, least_partitions=2)])
+def test_whole_tables_get_the_answers_of_the_model(features, signature, params):
+    """To the last bit, with NULL, NaN, infinity and either zero among the numbers scored."""
+    odd = F.element_at(
+        F.array(*[F.lit(v).cast("double") for v in (None, "NaN", "Infinity", "-Infinity", "0.0", "-0.0")]),
+        (F.col("id_contrato") % 6 + 1).cast("int"),
+    )
+    some = features.withColumn("renda_anual", F.when(F.col("id_contrato") % 5 == 0, odd).otherwise(F.col("renda_anual")))
+    model = fit_forest(features, signature, params)
+    keep = ["id_contrato", "regiao", "prazo_meses"]
+    one = score_forest(some, model, signature, keep).orderBy("id_contrato").collect()
+    whole = score_forest(some, model, signature, keep, whole_table=True)
+    assert whole.columns == [*keep, "prob", "classe_modelo", "classe_limiar"]
+    assert whole.orderBy("id_contrato").collect() == one
+
+
+def test_categories_and_more_classes_go_the_model_s_way(spark):
+    """Splits by category as well, values that no split knows among them."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from crivo.operators import trees
+
+    rows = spark.range(600).select(
+        (F.xxhash64("id") % 7 + 6).cast("double").alias("c"), (F.xxhash64("id", F.lit(1)) % 50).cast("double").alias("x")
+    )
+    named = {"ml_attr": {"type": "nominal", "name": "c", "num_vals": 13}}
+    rows = rows.withColumn("y", F.pmod(F.col("c") * 5 + F.col("x"), F.lit(3.0))).withMetadata("c", named)
+    gather = VectorAssembler(inputCols=["c", "x"], outputCol="features", handleInvalid="keep")
+    model = RandomForestClassifier(labelCol="y", numTrees=5, maxDepth=5, seed=1).fit(gather.transform(rows))
+    splits = trees.trees_of(model, spark).splits
+    assert {k < 0 for _, k, _ in splits} == {True, False}
+    wanted = model.transform(gather.transform(rows.unionByName(rows.limit(20).withColumn("c", F.lit(40.0)))))
+    wanted = wanted.select("c", "x", F.col("prediction").cast("int").alias("wanted"))
+    found = trees.answer(wanted.select("wanted", F.col("c").alias("f0"), F.col("x").alias("f1")), model, ["f0", "f1"])
+    assert found.count() == 620 and found.where("wanted <> _class").isEmpty()
+
+
+def test_a_table_takes_a_fraction_of_the_model_s_time(spark, features, signature, model):
+    """300 trees walked as arrays against the model's own walk, on one core's worth of rows."""
+    import time
+
+    forest_of_300 = fit_forest(features, signature, forest.CHALLENGER)
+    many = features.crossJoin(spark.range(60)).repartition(4).checkpoint()
+
+    def seconds(**options):
+        began = time.perf_counter()
+        score_forest(many, forest_of_300, signature, ["id_contrato"], **options).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    seconds(whole_table=True)
+    assert seconds(whole_table=True) < seconds() * 0.8
