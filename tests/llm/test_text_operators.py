@@ -103,6 +103,22 @@ def test_ngram_join_is_that_of_all_pairs(spark, params):
     assert 1 < len(set(want)) < len(texts)
 
 
+def test_ngram_join_reads_texts_once_for_both_sides_of_its_pairs(spark, monkeypatch):
+    texts = [f"one two three four five six seven eight nine t{i // 3}" for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = []
+
+    def noted(name):
+        real = getattr(ngram_join, name)
+        return lambda *args: (asked.append(name), real(*args))[1]
+
+    for name in ("_linked", "_segments"):
+        monkeypatch.setattr(ngram_join, name, noted(name))
+    got = ngram_join.ngram_jaccard_components(docs, "doc_id", "text", ngram_join.JoinParams(words=4, percent=75)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, 0) for i in range(12)}
+    assert asked.count("_segments") == asked.count("_linked") > 0
+
+
 def test_ngram_join_on_odd_rows(spark):
     got = ngram_join.ngram_jaccard_components(odd(spark), "doc_id", "text").collect()
     found = {(r.doc_id, r.n_shingles, r.component_id) for r in got}
