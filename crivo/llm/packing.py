@@ -16,11 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crivo.llm.common import by_row, distinct_in_rows, mix, text_chunks, words_of
+from crivo.llm.common import WORD_BYTES, mix, text_chunks, words_of
+from crivo.llm.units import gather
 
 
 @dataclass(frozen=True)
@@ -80,14 +82,87 @@ def _ranks(data: bytes) -> dict[bytes, int] | None:
     return {bytes(byte_of[c] for c in t): i for t, i in named.items() if i <= merged[-1]}
 
 
-_loaded: dict[int, Callable[[str], np.ndarray]] = {}
-
-
-def _encoder(data: bytes) -> Callable[[str], np.ndarray]:
+# A blank begins a part of its own unless other white space is beside it. Texts
+# with such blanks are encoded whole.
+_BESIDE = r"[\s\x0b\x{85}\p{Z}] | [\s\x0b\x{85}\p{Z}]"
+_BLANK_END = r"^$|[\s\x0b\x{85}\p{Z}]$"
+
+
+class ColumnEncoder:
+    """Ids of whole columns, as ``byte_bpe_encoder`` gives them for each text.
+
+    Distinct words behind a blank are encoded as one text; the bytes of its tokens
+    tell whose they are."""
+
+    def __init__(self, data: bytes):
+        self.one, ranks = byte_bpe_encoder(data), _ranks(data)
+        # How another file parts its texts is not known.
+        self.whole = _BESIDE if ranks else r"(?s)."
+        self.widths = np.zeros(max(ranks.values()) + 1 if ranks else 0, np.int64)
+        for token, i in (ranks or {}).items():
+            self.widths[i] = len(token)
+
+    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, and the n+1 offsets of rows in them; null is empty."""
+        texts = texts.fill_null("")
+        whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(~whole & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0))
+        lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        first = np.asarray(lists.offsets)[:-1] - (lists.offsets[0].as_py() if len(plain) else 0)
+        numbered = lists.flatten().dictionary_encode()
+        # A word's number, doubled, and one more behind a blank.
+        codes = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + 1
+        codes[first] -= 1
+        ids, starts, width = self._words(numbered.dictionary, codes)
+        sizes = np.zeros(len(texts), np.int64)
+        if len(plain):
+            sizes[plain] = np.add.reduceat(width[codes], first)
+        parts = {row: self.one(texts[int(row)].as_py()) for row in np.flatnonzero(whole)}
+        for row, found in parts.items():
+            sizes[row] = len(found)
+        offsets = np.r_[0, np.cumsum(sizes)]
+        out = gather(ids, starts, width, codes)
+        if parts:
+            plain_ids, out = out, np.empty(int(offsets[-1]), np.int32)
+            mine = np.ones(len(out), bool)
+            for row, found in parts.items():
+                out[offsets[row] : offsets[row + 1]] = found
+                mine[offsets[row] : offsets[row + 1]] = False
+            out[mine] = plain_ids
+        return out, offsets
+
+    def _words(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of each code start and how many they are."""
+        used = np.zeros(2 * len(words), bool)
+        used[codes] = True
+        joined = np.flatnonzero(used[1::2])
+        # White space at the end of a text would go with the blank behind it.
+        among = words.take(pa.array(joined))
+        apart = pc.match_substring_regex(among, _BLANK_END)
+        joined, among = joined[~apart.to_numpy(zero_copy_only=False)], among.filter(pc.invert(apart))
+        used[2 * joined + 1] = False
+        parts = [self.one(" ".join(["", *among.to_pylist()]))]
+        ends = np.cumsum(pc.binary_length(among).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        width = np.zeros(2 * len(words), np.int64)
+        cuts = np.searchsorted(np.cumsum(self.widths[parts[0]]), ends, "right")
+        width[2 * joined + 1] = np.diff(cuts, prepend=0)
+        others = np.flatnonzero(used)
+        parts += [self.one((" " if c & 1 else "") + words[c >> 1].as_py()) for c in others.tolist()]
+        width[others] = [len(p) for p in parts[1:]]
+        order = np.r_[2 * joined + 1, others]
+        starts = np.zeros(2 * len(words), np.int64)
+        starts[order] = np.cumsum(width[order]) - width[order]
+        return np.concatenate(parts), starts, width
+
+
+_loaded: dict[int, ColumnEncoder] = {}
+
+
+def _encoder(data: bytes) -> ColumnEncoder:
     key = hash(data)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = byte_bpe_encoder(data)
+        _loaded[key] = ColumnEncoder(data)
     return _loaded[key]
 
 
@@ -96,14 +171,35 @@ def _terms(data: np.ndarray, offsets: np.ndarray, bits: int):
     return words, (words & np.uint64((1 << bits) - 1)).astype(np.int64), rows
 
 
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of each word, worked out a chunk at a time."""
+    words, of, start = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while start < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[start] + WORD_BYTES, "right")) - 1
+        part = offsets[start : max(end, start + 1) + 1]
+        found, rows = words_of(data[part[0] : part[-1]], part - part[0])[:2]
+        words.append(found)
+        of.append(rows + start)
+        start += len(part) - 1
+    return np.concatenate(words), np.concatenate(of)
+
+
 def _frequencies(params: PackParams) -> Callable:
     def count(batches):
-        total = np.zeros((1 << params.term_bits) + 2, np.int64)
-        for rows, data, offsets in text_chunks(batches, "_text"):
+        total, mask = np.zeros((1 << params.term_bits) + 2, np.int64), (1 << params.term_bits) - 1
+        held, size = [], 0
+        for rows, data, offsets in text_chunks(batches, "_text", WORD_BYTES):
             _, terms, of = _terms(data, offsets, params.term_bits)
             total[-2:] += rows.num_rows, len(terms)
-            terms, _ = distinct_in_rows(terms, of)
-            total[:-2] += np.bincount(terms, minlength=len(total) - 2)
+            # Each term of a row once. Values alone are sorted faster than their places.
+            pairs = np.sort(of << params.term_bits | terms)
+            held.append(pairs[np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)]] & mask)
+            size += len(held[-1])
+            if size > mask:
+                total[:-2] += np.bincount(np.concatenate(held), minlength=mask + 1)
+                held, size = [], 0
+        if size:
+            total[:-2] += np.bincount(np.concatenate(held), minlength=mask + 1)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["term", "n"])
 
@@ -114,7 +210,7 @@ def _signed(params: PackParams) -> Callable:
     """Each row with the smallest hash of its words."""
 
     def signed(batches):
-        for rows, data, offsets in text_chunks(batches, "_text"):
+        for rows, data, offsets in text_chunks(batches, "_text", WORD_BYTES):
             words, _, of = _terms(data, offsets, params.term_bits)
             least = np.zeros(rows.num_rows, np.uint64)
             if len(words):
@@ -134,21 +230,27 @@ class Shard:
         self.params, self.ids, self.starts = params, ids, starts
         self.left = np.diff(starts)  # tokens of each document not yet packed
         self.done = np.zeros(len(self.left), np.int64)
-        words, terms, of = _terms(data, offsets, params.term_bits)
-        order = by_row(np.argsort(words), of)
-        of, words, terms = of[order], words[order], terms[order]
-        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (words[1:] != words[:-1])][: len(of)])
-        times = np.diff(np.r_[new, len(of)])
-        of, words, terms = of[new], words[new], terms[new]
+        words, of = _words(data, offsets)
+        # Distinct words by hash, and each word's place among them.
+        numbered = pa.array(words).dictionary_encode()
+        known = numbered.dictionary.to_numpy(zero_copy_only=False)
+        rank = np.empty(len(known), np.int64)
+        rank[np.argsort(known)] = np.arange(len(known))
+        # Values alone are sorted faster than their places.
+        pairs = np.sort(of * len(known) + rank[numbered.indices.to_numpy()])
+        new = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)])
+        times = np.diff(np.r_[new, len(pairs)])
+        of, word = np.divmod(pairs[new], max(1, len(known)))
         frequency, documents, mean = statistics
-        idf = np.log1p((documents - frequency[terms] + 0.5) / (frequency[terms] + 0.5))
+        seen = frequency[(np.sort(known) & np.uint64((1 << params.term_bits) - 1)).astype(np.int64)]
+        idf = np.log1p((documents - seen + 0.5) / (seen + 0.5))[word]
         size = np.bincount(of, times, minlength=len(self.left))[of]
         norm = params.k1 * (1 - params.b + params.b * size / mean)
         weight = idf * times * (params.k1 + 1) / (times + norm)
         # Terms are whole hashes, numbered as they lie. By term: the documents that
         # have it; a term of one document finds nobody and is left out.
-        by = np.argsort(words, kind="stable")
-        first = np.r_[True, words[by[1:]] != words[by[:-1]]][: len(by)]
+        by = np.sort(word << 32 | np.arange(len(word))) & 0xFFFFFFFF
+        first = np.r_[True, word[by[1:]] != word[by[:-1]]][: len(by)]
         several = ~(first & np.r_[first[1:], True][: len(by)])
         by, first = by[several], first[several]
         self.posted, self.posted_weight = of[by], weight[by]
@@ -160,20 +262,40 @@ class Shard:
         self.query_at = np.searchsorted(of[shared], np.arange(len(self.left) + 1))
         self.query_terms = name[shared]
         self.unused = self.posted_for = len(self.left)
+        self.here = np.arange(len(self.left))  # the documents that postings number
+        # Terms that a fourth of the documents have are rows of weights instead.
+        sizes = np.diff(self.post_at)
+        many = 4 * sizes >= len(self.left)
+        self.row_of = np.where(many, np.cumsum(many) - 1, -1)
+        self.rows = np.zeros((int(many.sum()), len(self.left)))
+        moved = np.repeat(many, sizes)
+        self.rows[np.repeat(self.row_of, sizes)[moved], self.posted[moved]] = self.posted_weight[moved]
+        self._keep(~moved)
+
+    def _keep(self, postings: np.ndarray) -> None:
+        self.post_at = np.r_[0, np.cumsum(postings)][self.post_at]
+        self.posted, self.posted_weight = self.posted[postings], self.posted_weight[postings]
 
     def scores(self, seed: int) -> np.ndarray:
         """Of every document as the answer to all terms that the seed shares with
         another; of use for those unused."""
         if 8 * self.unused < 7 * self.posted_for:
             # Postings of used documents go each time that an eighth of them is used.
-            keep = self.left[self.posted] > 0
-            self.post_at = np.r_[0, np.cumsum(keep)][self.post_at]
-            self.posted, self.posted_weight = self.posted[keep], self.posted_weight[keep]
+            left = self.left[self.here] > 0
+            self._keep(left[self.posted])
+            self.posted = (np.cumsum(left) - 1)[self.posted]
+            self.here, self.rows = self.here[left], self.rows[:, left]
             self.posted_for = self.unused
         terms = self.query_terms[self.query_at[seed] : self.query_at[seed + 1]]
         starts, sizes = self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms]
         at = np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-        return np.bincount(self.posted[at], self.posted_weight[at], minlength=len(self.left))
+        found = np.bincount(self.posted[at], self.posted_weight[at], minlength=len(self.here)).astype(float)
+        rows = self.row_of[terms]
+        for row in rows[rows >= 0].tolist():
+            found += self.rows[row]
+        scores = np.zeros(len(self.left))
+        scores[self.here] = found
+        return scores
 
     def take(self, row: int, space: int) -> tuple[int, int, int]:
         size = int(min(space, self.left[row]))
@@ -262,14 +384,15 @@ def _packed(params: PackParams, model, statistics, with_ids: bool) -> Callable:
     return packed
 
 
-def _with_end(encode, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _with_end(encoder: ColumnEncoder, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows with the end id behind each, and the n+1 offsets."""
-    last, parts = np.array([end], np.int32), []
-    for text in texts:
-        parts += [encode(text.as_py() or ""), last]
-    ids = np.concatenate(parts)
-    sizes = np.array([len(p) for p in parts[::2]]) + 1
-    return ids, np.r_[0, np.cumsum(sizes)]
+    found, offsets = encoder.rows(texts)
+    starts = offsets + np.arange(len(offsets))
+    ids = np.empty(len(found) + len(texts), np.int32)
+    last = np.zeros(len(ids), bool)
+    last[starts[1:] - 1] = True
+    ids[last], ids[~last] = end, found
+    return ids, starts
 
 
 def pack_documents(

@@ -381,6 +381,22 @@ def test_packing_puts_similar_texts_together(spark):
     assert packed(spark, odd(spark).limit(0)) == []
 
 
+def test_packing_encodes_distinct_words_once(monkeypatch):
+    data, asked = queries.vocabulary(queries.BYTE_BPE), []
+    one = packing.byte_bpe_encoder(data)
+    monkeypatch.setattr(packing, "byte_bpe_encoder", lambda d: lambda text: (asked.append(text), one(text))[1])
+    chance = random.Random(8)
+    parts = ["a", "bc", " ", " ", "\n", "é", "日本", "\u3000", "'s", "'", ".", "12", "\t", "\x1c", "\x85", "<|endoftext|>"]
+    odd = [None, "", " ", "  ", "a ", " a\n", "a\n b", "x 't don't", *("".join(chance.choices(parts, k=9)) for _ in range(3000))]
+    plain = [" ".join(chance.choices(["fox", "Dog\nand", "naïve", "it's", "7", "-"], k=200)) for _ in range(50)]
+    for texts in (odd, plain, [], [None]):
+        asked.clear()
+        ids, starts = packing._with_end(packing._encoder(data + b" " * len(texts)), pa.array(texts, pa.string()), 1)
+        assert [ids[i:j].tolist() for i, j in zip(starts, starts[1:])] == [[*one(t or "").tolist(), 1] for t in texts]
+        if texts is plain:
+            assert sum(map(len, asked)) < 100
+
+
 def test_packing_asks_for_all_shared_terms():
     # Each text has 20 words of its own, heavier than what it shares with one other.
     common = [" ".join(f"pair{p}word{i}" for i in range(8)) for p in range(30)]
