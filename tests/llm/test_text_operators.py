@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from crivo.llm import ftrl, lines, ngram_join, packing, pieces, quality_rules, queries, secrets
+from crivo.llm import common, ftrl, lines, ngram_join, packing, pieces, quality_rules, queries, secrets
 from crivo.llm.common import connected_components, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,6 +88,21 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").isEmpty()
 
 
+@pytest.mark.parametrize("at_once", [1 << 17, 16])
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch, at_once):
+    chance, asked = random.Random(6), []
+    real = common._star_round
+    monkeypatch.setattr(common, "EDGES_AT_ONCE", at_once)
+    monkeypatch.setattr(common, "_star_round", lambda links: (asked.append(1), real(links))[1])
+    edges = [(chance.randrange(150), chance.randrange(150)) for _ in range(90)] + [(i, i + 1) for i in range(200, 240)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(9), "a", "b")
+    linked = {frozenset(e) for e in edges}
+    nodes = sorted({n for e in edges if e[0] != e[1] for n in e})
+    want = components(nodes, lambda i, j: frozenset((nodes[i], nodes[j])) in linked)
+    assert {r.node: r.component for r in found.collect()} == dict(zip(nodes, want))
+    assert bool(asked) == (at_once == 16)
+
+
 @pytest.mark.parametrize("params", [
     ngram_join.JoinParams(words=4, percent=85),
     ngram_join.JoinParams(words=4, percent=85, group_rows=8, fragments=3, order_buckets=8),
