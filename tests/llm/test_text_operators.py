@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crivo.llm import common, ftrl, lines, ngram_join, packing, pieces, quality_rules, queries, secrets
@@ -134,6 +135,24 @@ def test_ngram_join_reads_texts_once_for_both_sides_of_its_pairs(spark, monkeypa
     assert asked.count("_segments") == asked.count("_linked") > 0
 
 
+def test_ngram_join_knows_a_bound_of_what_fronts_share(spark):
+    chance = random.Random(10)
+    grams = [chance.randrange(-(1 << 63), 1 << 63) for _ in range(250)]
+    sets = [set(chance.sample(grams, 12)) for _ in range(15)]
+    sets += [set(chance.sample(sorted(sets[0]), 10)) | {chance.choice(grams)} for _ in range(5)]
+    rows = [(key, gram) for key, grams in enumerate(sets) for gram in grams]
+    of_set = Window.partitionBy("key")
+    fronts = spark.createDataFrame(rows, "key long, gram long").withColumns(
+        {"common": F.count("gram").over(of_set), **ngram_join._signs(of_set)}
+    )
+    fronts = fronts.drop("gram").distinct()
+    pairs = fronts.alias("x").crossJoin(fronts.alias("y"))
+    found = pairs.select("x.key", F.col("y.key").alias("other"), ngram_join._most_shared("x", "y").alias("most"))
+    shared = {(r.key, r.other): (r.most, len(sets[r.key] & sets[r.other])) for r in found.collect()}
+    assert len(shared) == 400 and all(most >= n for most, n in shared.values())
+    assert np.mean([most <= n + 2 for most, n in shared.values()]) > 0.9
+
+
 def test_ngram_join_on_odd_rows(spark):
     got = ngram_join.ngram_jaccard_components(odd(spark), "doc_id", "text").collect()
     found = {(r.doc_id, r.n_shingles, r.component_id) for r in got}
