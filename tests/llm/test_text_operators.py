@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from crivo.llm import common, ftrl, lines, ngram_join, packing, pieces, quality_rules, queries, secrets
+from crivo.llm import common, ftrl, line_pairs, lines, ngram_join, packing, pieces, quality_rules, queries, secrets
 from crivo.llm.common import connected_components, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -229,6 +229,58 @@ def test_line_dedup_finds_edited_lines(spark):
     assert len(dropped) >= 30 and max(dropped) < 40
 
 
+def _edited(chance, text, edits, letters):
+    text = list(text)
+    for _ in range(edits):
+        at = chance.randrange(len(text) + 1)
+        text[at : at + chance.randrange(2)] = chance.choice([[], [chance.choice(letters)]])
+    return "".join(text)
+
+
+def _edited_lines(seed, sizes):
+    """Distinct lines of which some are edited ones of others, up to a quarter of the characters."""
+    chance, found = random.Random(seed), set()
+    for size in sizes:
+        letters = chance.choice(["ab ", "abcdefgh é"])
+        text = "".join(chance.choices(letters, k=size))
+        cut = size // 10
+        found |= {text, text[cut:] + "".join(chance.choices(letters, k=cut))}
+        found |= {_edited(chance, text, chance.randrange(size // 4 + 2), letters) for _ in range(4)}
+    return sorted({lines.folded(text) for text in found} - {""})
+
+
+def test_line_dedup_links_all_lines_that_are_similar(spark, monkeypatch):
+    texts = _edited_lines(5, [3, 6, 10, 20, 30, 30, 60, 60, 120, 300])
+    groups = components(range(len(texts)), lambda i, j: lines.similar(texts[i], texts[j], 80))
+    full = [i for i, text in enumerate(texts) if re.search("[a-zé]", text)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rows in (1 << 15, 9):
+        monkeypatch.setattr(line_pairs, "BLOCK_LINES", rows)
+        found = {r.doc_id: r.first_doc_id for r in lines.line_groups(docs, "doc_id", "text").collect()}
+        assert found == {i: groups[i] for i in full}
+
+
+def test_lines_that_are_similar_are_not_rejected():
+    for seed in range(12):
+        texts = _edited_lines(seed, [4, 8, 15, 30, 50, 90, 200, 240])
+        number, half = np.arange(len(texts)), len(texts) // 2
+        wanted = {(j, i) for i in range(len(texts)) for j in range(i) if lines.similar(texts[i], texts[j], 80)}
+        whole = line_pairs.Block(number, number, texts)
+        parts = [line_pairs.Block(number[p], number[p], texts[p]) for p in (slice(half), slice(half, None))]
+        for apart, sides in (False, [(whole, whole, True)]), (True, [(*parts, True), (*parts[::-1], False)]):
+            found = set()
+            for one, two, equal in sides:
+                for i, those in line_pairs.unrejected(one, two, 80, equal):
+                    found |= {tuple(sorted((int(one.keys[i]), int(two.keys[j])))) for j in those}
+            assert {(i, j) for i, j in wanted if not apart or i < half <= j} <= found
+
+
+def test_lines_of_a_column_are_folded_alike(spark):
+    texts = ["  A\tb\r", "É x  Y\x0bz ", "\xa0 K", "ok"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(lines._folded("text")).collect()
+    assert [r[0] for r in rows] == [lines.folded(t) for t in texts]
+
+
 def test_line_dedup_keeps_other_numbers(spark):
     texts = [
         "12 34 56", "98 70 11", "2019: 45%", "2020: 71%", "1", "2", "a = b * c", "a - b + c = d",
