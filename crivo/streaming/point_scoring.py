@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crivo import schema
 from crivo.operators import traces
-from crivo.operators.forest import score_forest
+from crivo.operators.forest import is_large, score_forest
 from crivo.operators.registry import LoadedModel
 from crivo.operators.scoring import responses
 
@@ -48,7 +48,8 @@ def can_be_scored(contracts: DataFrame) -> Column:
 
 def answer_arrivals(contracts: DataFrame, model: LoadedModel) -> DataFrame:
     keep = [schema.KEY, *schema.REQUEST.fieldNames()]
-    return responses(score_forest(contracts, model.forest, model.signature, keep=keep), keep)
+    scored = score_forest(contracts, model.forest, model.signature, keep, whole_table=is_large(model.forest))
+    return responses(scored, keep)
 
 
 def store_spans_of_arrivals(

@@ -242,3 +242,51 @@ def test_a_table_takes_a_fraction_of_the_model_s_time(spark, features, signature
 
     seconds(whole_table=True)
     assert seconds(whole_table=True) < seconds() * 0.8
+
+
+def test_all_rows_are_fitted(spark, monkeypatch):
+    """More than the 20,000 rows that candidates once were fitted on."""
+    assert forest.CHAMPION.max_rows is None and forest.CHALLENGER.max_rows is None
+    seen = []
+    fit = forest.RandomForestClassifier.fit
+    monkeypatch.setattr(
+        forest.RandomForestClassifier, "fit", lambda self, df: (seen.append(df.count()), fit(self, df))[1]
+    )
+    rows = spark.range(20_500).select(
+        F.col("id").alias("id_contrato"),
+        (F.xxhash64("id") % 50).cast("double").alias("x"),
+        (F.col("id") % 2).alias("inadimplente"),
+    )
+    fit_forest(rows, [encode.SignatureColumn("x", "double")], ForestParams(1, 1))
+    assert seen == [20_500]
+
+
+def test_trees_fitted_in_passes_are_one_forest(features, signature, monkeypatch):
+    """Seven trees in three passes: those of a fit with each pass's seed, in order."""
+
+    def written(model):
+        return [tree.toDebugString.split("\n", 1)[1] for tree in model.trees]
+
+    wanted = []
+    for n, seed in ((2, 42), (2, 43), (3, 44)):
+        wanted += written(fit_forest(features, signature, ForestParams(n, 4, seed=seed, least_partitions=3)))
+    monkeypatch.setattr(forest, "MOST_BAGGED", 3 * features.count())
+    model = fit_forest(features, signature, ForestParams(7, 4, least_partitions=3))
+    assert model.getNumTrees == 7 and written(model) == wanted
+    assert model.getOrDefault("maxDepth") == 4 and model.numFeatures == len(signature)
+
+
+@pytest.mark.parametrize("share", [2, 10_000])
+def test_large_forests_answer_in_blocks_of_trees(features, signature, model, monkeypatch, share):
+    from crivo.operators import trees
+
+    sent, most_nodes = [], max(1, model.totalNumNodes // share)
+    read = trees._trees
+    monkeypatch.setattr(trees, "_trees", lambda nodes: sent.append(read(nodes)) or sent[-1])
+    one = score_forest(features, model, signature, ["id_contrato"]).orderBy("id_contrato").collect()
+    monkeypatch.setattr(forest, "MOST_NODES", most_nodes)
+    assert forest.is_large(model)
+    blocks = score_forest(features, model, signature, ["id_contrato"], whole_table=True)
+    assert blocks.orderBy("id_contrato").collect() == one
+    assert len(sent) > 1 and sum(len(s.roots) for s in sent) == 4
+    assert all(len(s.split) <= most_nodes or len(s.roots) == 1 for s in sent)
