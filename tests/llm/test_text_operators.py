@@ -260,6 +260,45 @@ def test_line_dedup_links_all_lines_that_are_similar(spark, monkeypatch):
         assert found == {i: groups[i] for i in full}
 
 
+def test_buckets_go_by_the_characters_of_a_line(spark):
+    texts = ["", "a", "éé", "abc", "é" * 9, "x" * 200]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r.bucket for r in line_pairs.with_bucket(rows, 80).collect()]
+    assert found == [sum(cut <= len(t) for cut in line_pairs.bounds(80)) for t in texts]
+
+
+def test_lines_are_copied_for_a_round_of_pairs_at_a_time(spark, monkeypatch):
+    """Twenty blocks of one length, so twenty copies of each line, but few at any time."""
+
+    def counted(percent, similar):
+        return lambda group: pa.table({"a": [group.num_rows], "b": [0]})
+
+    rounds = []
+    monkeypatch.setattr(line_pairs, "_within", counted)
+    monkeypatch.setattr(line_pairs, "BLOCK_LINES", 10)
+    monkeypatch.setattr(line_pairs, "ROUND_BYTES", 1)
+    monkeypatch.setattr(
+        line_pairs, "staged_in_turn", lambda frames, name: rounds.extend(f.agg(F.sum("a")).first()[0] or 0 for f in frames)
+    )
+    every = spark.range(200).select(
+        F.col("id").alias("key"), F.col("id").alias("component"), F.repeat(F.lit("x"), 40).alias("text")
+    )
+    line_pairs.all_links(line_pairs.with_bucket(every, 80), 80, lines.similar)
+    assert sum(rounds) == 20 * 200 and max(rounds) < 3 * 200
+
+
+def test_line_dedup_in_many_rounds(spark, monkeypatch):
+    texts = _edited_lines(6, [10, 20, 30, 30, 60])
+    groups = components(range(len(texts)), lambda i, j: lines.similar(texts[i], texts[j], 80))
+    monkeypatch.setattr(line_pairs, "BLOCK_LINES", 5)
+    monkeypatch.setattr(line_pairs, "ROUND_BYTES", 1)
+    # Each line twice, so that some texts are met several times.
+    docs = spark.createDataFrame([(i + d, t) for d in (0, 1000) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.first_doc_id for r in lines.line_groups(docs.repartition(5), "doc_id", "text").collect()}
+    full = [i for i, text in enumerate(texts) if re.search("[a-zé]", text)]
+    assert found == {i + d: groups[i] for d in (0, 1000) for i in full}
+
+
 def test_lines_that_are_similar_are_not_rejected():
     for seed in range(12):
         texts = _edited_lines(seed, [4, 8, 15, 30, 50, 90, 200, 240])
