@@ -28,8 +28,10 @@ from crivo.sources.contracts import (
 from crivo.sources.tables import (
     ensure_namespace,
     read_parquet,
+    remove,
     replace_table,
     schema_report,
+    scratch,
     staged,
     tables_with_prefix,
 )
@@ -650,17 +652,31 @@ def payload_folders(spark: SparkSession, folder: str) -> DataFrame:
 
 def payload_schema(spark: SparkSession, folder: str) -> DataFrame:
     """Fields that the payloads of two runs turn out to have. The second run
-    wrote the version as a number and left out the region."""
-    first = staged(_with_payloads(spark, folder), "answered")
-    path = fresh_path(spark, "payloads")
-    files.write_payloads(first, path, RUN)
+    wrote the version as a number and left out the region. Counts of the runs add
+    up, so there are files of one run at a time."""
+    written = _with_payloads(spark, folder).select("payload", "payload_uri", "payload_bucket")
+    with scratch(spark):
+        first = staged(written, "answered", result=True)
     changed = F.col("payload").withField("versao_modelo", F.lit(VERSION)).dropFields("request.regiao")
-    files.write_payloads(first.withColumn("payload", changed), path, "r2")
-    written = spark.read.option("recursiveFileLookup", "true").text(path)
-    found = inference.json_fields(written, "value")
+    found = _written_fields(first, RUN)
+    found = inference.merged_fields(found, _written_fields(first.withColumn("payload", changed), "r2"))
     return found.withColumn("path", F.array_join("path", "."))
 
 
+def _written_fields(with_payload: DataFrame, run_id: str) -> DataFrame:
+    """The fields of a run's payloads, written and read as text; nothing but the
+    counts stays."""
+    spark = with_payload.sparkSession
+    path = fresh_path(spark, "payloads")
+    try:
+        with scratch(spark):
+            files.write_payloads(with_payload, path, run_id, compression="gzip")
+            written = spark.read.option("recursiveFileLookup", "true").text(path)
+            return staged(inference.json_fields(written, "value"), "fields", result=True)
+    finally:
+        remove(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_features": scan_features,

@@ -86,7 +86,9 @@ def with_payloads(
     )
 
 
-def write_payloads(with_payload: DataFrame, base: str, run_id: str | None = None) -> None:
+def write_payloads(
+    with_payload: DataFrame, base: str, run_id: str | None = None, compression: str = "none"
+) -> None:
     """Write the payloads as JSON lines, one folder per bucket.
 
     With a ``run_id`` they go below a folder of the run, in place of what an
@@ -102,7 +104,7 @@ def write_payloads(with_payload: DataFrame, base: str, run_id: str | None = None
         with_payload.select("payload.*", "payload_uri", _BUCKET)
         .hint("rebalance", F.col(_BUCKET))
         .write.mode(mode)
-        .options(**_KEEP_NULLS)
+        .options(**_KEEP_NULLS, compression=compression)
         .partitionBy(_BUCKET)
         .json(folder)
     )

@@ -132,3 +132,27 @@ def test_documents_that_nest_too_deep(spark):
     assert fields(spark, [nested(inference.MOST_LEVELS - 1)]).count() == inference.MOST_LEVELS
     with pytest.raises(ValueError, match="deeper"):
         fields(spark, [nested(inference.MOST_LEVELS)])
+
+
+def test_payload_schema_keeps_files_of_one_run_at_a_time(spark, small, monkeypatch, tmp_path):
+    """When a run is written no other is there, and none afterwards."""
+    from crivo.plans import queries
+
+    write, there = queries.files.write_payloads, []
+
+    def files():
+        return [p for p in tmp_path.rglob("*.json*") if not p.name.startswith(".")]
+
+    def watched(*args, **options):
+        there.append(len(files()))
+        write(*args, **options)
+        there.append(len(files()) > 0)
+
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, name: f"{tmp_path}/{name}-{len(there)}")
+    monkeypatch.setattr(queries.files, "write_payloads", watched)
+    rows = {r.path: r for r in queries.payload_schema(spark, small).collect()}
+    assert there == [0, True, 0, True] and not files()
+    both = 2 * spark.read.parquet(f"{small}/orders.parquet").count()
+    assert rows[""].n_object == both and rows["request.regiao"].n_string <= both // 2
+    version = rows["versao_modelo"]
+    assert (version.n_long, version.n_string, version.conflict) == (both // 2, both // 2, True)
